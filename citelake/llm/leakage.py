@@ -60,21 +60,26 @@ class Items:
     q: int
 
     def __post_init__(self) -> None:
-        self.codes = [code_points(t) for t in self.texts]
+        codes_of = [code_points(t) for t in self.texts]
+        self.joined = np.concatenate([np.zeros(0, dtype=np.uint32), *codes_of])
+        self.offsets = np.cumsum([0, *map(len, codes_of)])[:-1]
         hashes, item, place = [], [], []
         self.windows: list[np.ndarray] = []
+        self.bounds: list[np.ndarray] = []
         self.least = np.zeros(len(self.texts), dtype=np.int64)
-        for i, codes in enumerate(self.codes):
+        for i, codes in enumerate(codes_of):
             h = gram_hashes(codes, self.q)
             blanks = np.flatnonzero(codes == 32)
             starts, ends = blanks[: -self.words], blanks[self.words :] + 1
             self.windows.append(np.stack([starts, ends], axis=1) if len(starts) else np.zeros((0, 2), dtype=np.int64))
+            self.bounds.append(np.maximum(1, ends - starts + 1 - self.q * (self.edits + 1)))
             if not len(starts):
                 continue
-            self.least[i] = max(1, int((ends - starts).min()) + 1 - self.q * (self.edits + 1))
+            self.least[i] = self.bounds[-1].min()
             hashes.append(h)
             item.append(np.full(len(h), i))
             place.append(np.arange(len(h)))
+        self.longest = max((int((w[:, 1] - w[:, 0]).max()) for w in self.windows if len(w)), default=0)
         h = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         order = np.argsort(h, kind="stable")
         self.item = np.concatenate(item)[order] if item else np.zeros(0, dtype=np.int64)
@@ -85,80 +90,100 @@ class Items:
         self.maybe[self.grams >> self.shift] = True
 
 
-def align(window: np.ndarray, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, diagonal: int, width: int, edits: int, item: np.ndarray) -> np.ndarray:
-    """Smallest edits of each window of `item` against `codes` along diagonals [diagonal, diagonal + width), ends in `codes` free."""
-    del window
-    cost = np.zeros((len(starts), width), dtype=np.int32)
-    best = np.full(len(starts), edits + 1, dtype=np.int32)
-    band = diagonal + np.arange(width)
-    for i in range(int(lengths.max())):
-        inside = i < lengths
-        at = np.where(inside, starts + i, 0)
-        j = at[:, None] + band[None, :]
-        there = np.where((j >= 0) & (j < len(codes)), codes[np.clip(j, 0, len(codes) - 1)], 0)
-        new = cost + (there != item[at][:, None])
-        new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
+def align(pattern: np.ndarray, at: np.ndarray, lengths: np.ndarray, text: np.ndarray, place: np.ndarray, width: int, edits: int) -> np.ndarray:
+    """Fewest edits of each window `pattern[at : at + length]` against `text` inside a band; `edits` + 1 stands for more.
+
+    Window k may begin at any of the `width` places from `place[k]` on and stays on the diagonals those places begin; its end
+    is free as well. All windows advance together, and those beyond `edits` on every diagonal are dropped on the way.
+    """
+    best = np.full(len(at), edits + 1, dtype=np.int8)
+    alive = np.arange(len(at))
+    cost = np.zeros((len(at), width), dtype=np.int8)
+    band = np.arange(width)
+    i = 0
+    while len(alive):
+        there = text[(place[alive] + i)[:, None] + band]
+        new = cost + (there != pattern[at[alive] + i][:, None])
+        np.minimum(new[:, :-1], cost[:, 1:] + 1, out=new[:, :-1])
         for _ in range(edits):
-            new[:, 1:] = np.minimum(new[:, 1:], new[:, :-1] + 1)
-        cost = np.where(inside[:, None], new, cost)
-        if (cost.min(axis=1) > edits).all():
-            return best
-    return np.minimum(best, cost.min(axis=1))
-
-
-def find(items: Items, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
-    """(text number, item number, fewest edits, verified windows) of every text that holds a window of an item."""
-    q, edits = items.q, items.edits
-    if not len(items.grams) or not texts:
-        return
-    codes = [code_points(t) for t in texts]
-    gap = np.zeros(1, dtype=np.uint32)
-    offsets = np.cumsum([0, *[len(c) + 1 for c in codes]])
-    joined = np.concatenate([x for c in codes for x in (c, gap)])
-    h = gram_hashes(joined, q)
+            np.minimum(new[:, 1:], new[:, :-1] + 1, out=new[:, 1:])
+        cost, i = new, i + 1
+        ended = lengths[alive] == i
+        if ended.any():
+            best[alive[ended]] = np.minimum(cost[ended].min(axis=1), edits + 1)
+        if i % 4 == 0 or ended.any():
+            keep = ~ended & (cost.min(axis=1) <= edits)
+            alive, cost = alive[keep], cost[keep]
+    return best
+
+
+def _hits(items: Items, texts: list[np.ndarray], gap: int) -> tuple[np.ndarray, ...]:
+    """The texts in one array, `gap` zeros between them and a window's length more around all, where each begins, and (text, item, place, diagonal) of all shared q-grams."""
+    zeros, margin = np.zeros(gap, dtype=np.uint32), np.zeros(items.longest + gap, dtype=np.uint32)
+    offsets = np.cumsum([len(margin), *[len(c) + gap for c in texts]])
+    joined = np.concatenate([margin, *[x for c in texts for x in (c, zeros)], margin])
+    h = gram_hashes(joined, items.q)
     at = np.flatnonzero(items.maybe[h >> items.shift])
-    slot = np.searchsorted(items.grams, h[at])
-    slot[slot == len(items.grams)] = 0
+    slot = np.minimum(np.searchsorted(items.grams, h[at]), len(items.grams) - 1)
     same = items.grams[slot] == h[at]
     at, slot = at[same], slot[same]
-    if not len(at):
-        return
     times = items.count[slot]
     ends = np.cumsum(times)
-    entry = np.arange(ends[-1]) - np.repeat(ends - times, times) + np.repeat(items.first[slot], times)
-    item, place = items.item[entry], items.place[entry]
+    entry = np.arange(times.sum()) - np.repeat(ends - times - items.first[slot], times)
     position = np.repeat(at, times)
+    item, place = items.item[entry], items.place[entry]
     text = np.searchsorted(offsets, position, side="right") - 1
-    diagonal = position - offsets[text] - place
+    return joined, offsets, text, item, place, position - offsets[text] - place
+
+
+def _enough(items: Items, text: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Hits of (text, item) pairs that have as many as the item's easiest window needs, whatever the diagonal."""
+    pair = text * len(items.ids) + item
+    _, which, total = np.unique(pair, return_inverse=True, return_counts=True)
+    return total[which] >= items.least[item]
+
+
+def find(items: Items, texts: list[str]) -> list[tuple[int, int, int, int]]:
+    """(text number, item number, fewest edits, verified windows) of every text that holds a window of an item."""
+    q, edits = items.q, items.edits
+    if not len(items.grams) or not texts:
+        return []
     step = max(1, edits)
-    low = np.floor_divide(diagonal, step)
+    width = 2 * step + 2 * edits
+    joined, offsets, text, item, place, diagonal = _hits(items, [code_points(t) for t in texts], width + q)
+    keep = _enough(items, text, item)
+    text, item, place = text[keep], item[keep], place[keep]
+    low = np.floor_divide(diagonal[keep], step)
     # A hit counts in the band that begins in its step and in the one that began a step earlier.
-    text, item, place = (np.concatenate([x, x]) for x in (text, item, place))
-    band = np.concatenate([low, low - 1])
+    text, item, place, band = *(np.concatenate([x, x]) for x in (text, item, place)), np.concatenate([low, low - 1])
     order = np.lexsort((place, band, item, text))
     text, item, place, band = text[order], item[order], place[order], band[order]
-    new = np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])]
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])]) if len(text) else np.zeros(0, dtype=np.int64)
     sizes = np.diff(np.r_[starts, len(text)])
-    found: dict[tuple[int, int], tuple[int, set]] = {}
+    owner, first, length, begin = [], [], [], []
     for k in np.flatnonzero(sizes >= items.least[item[starts]]):
-        s, e = starts[k], starts[k] + sizes[k]
-        t, i, b = int(text[s]), int(item[s]), int(band[s])
-        hits = np.unique(place[s:e])
+        s, i = starts[k], item[starts[k]]
+        hits = place[s : s + sizes[k]]
+        hits = hits[np.r_[True, hits[1:] != hits[:-1]]]
         windows = items.windows[i]
         inside = np.searchsorted(hits, windows[:, 1] - q, side="right") - np.searchsorted(hits, windows[:, 0])
-        bound = np.maximum(1, windows[:, 1] - windows[:, 0] + 1 - q * (edits + 1))
-        kept = windows[inside >= bound]
-        if not len(kept):
-            continue
-        lengths = kept[:, 1] - kept[:, 0]
-        best = align(None, codes[t], kept[:, 0], lengths, b * step - edits, 2 * step + 2 * edits, edits, items.codes[i])
-        good = best <= edits
-        if good.any():
-            old, seen = found.get((t, i), (edits + 1, set()))
-            found[t, i] = (min(old, int(best[good].min())), seen | set(kept[good, 0].tolist()))
-    for (t, i), (fewest, seen) in found.items():
-        yield t, i, fewest, len(seen)
+        kept = windows[inside >= items.bounds[i]]
+        if len(kept):
+            owner.append(np.full(len(kept), s))
+            first.append(kept[:, 0])
+            length.append(kept[:, 1] - kept[:, 0])
+            begin.append(kept[:, 0] + offsets[text[s]] + band[s] * step - edits)
+    if not owner:
+        return []
+    owner, first, length, begin = (np.concatenate(x) for x in (owner, first, length, begin))
+    best = align(items.joined, items.offsets[item[owner]] + first, length, joined, begin, width, edits)
+    good = best <= edits
+    found: dict[tuple[int, int], tuple[int, set]] = {}
+    for s, w, e in zip(owner[good].tolist(), first[good].tolist(), best[good].tolist(), strict=True):
+        fewest, seen = found.setdefault((int(text[s]), int(item[s])), (e, set()))
+        seen.add(w)
+        found[int(text[s]), int(item[s])] = (min(fewest, e), seen)
+    return [(t, i, fewest, len(seen)) for (t, i), (fewest, seen) in found.items()]
 
 
 def _search(ids: list[int], texts: list[str], words: int, edits: int, q: int):
