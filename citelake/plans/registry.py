@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from citelake.plans import integrity
+from citelake.plans import coverage, integrity
 
-MODULES = [integrity]
+MODULES = [integrity, coverage]
 
 
 def queries() -> dict[str, Callable]:
