@@ -38,6 +38,9 @@ class DeliveryStore:
         self.spark, self.path = spark, path.rstrip("/")
         self.identifier, self.order = identifier, order
         self.columns = list(dict.fromkeys([identifier, *order, *columns]))
+        # Stored under names of our own, so no payload column can clash with the store's.
+        self.stored = {c: f"c{i}" for i, c in enumerate(self.columns)}
+        self.key = self.stored[identifier]
         self.rows_per_partition = rows_per_partition
         self.manifest = self._latest()
 
@@ -74,30 +77,31 @@ class DeliveryStore:
     def _read(self, paths: list[str], schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _winners(self, df: DataFrame, *extra: Column) -> DataFrame:
-        best = F.min_by(F.struct(*self.columns), winner_order(self.order)).alias("w")
-        return df.groupBy(self.identifier).agg(best, *extra)
+    def _winners(self, df: DataFrame, *extra: str) -> DataFrame:
+        """One row per identifier, by stored names."""
+        best = F.min_by(F.struct(*self.stored.values()), winner_order([self.stored[c] for c in self.order])).alias("w")
+        return df.groupBy(*extra, self.key).agg(best)
 
     def merge(self, batch: DataFrame, name: str) -> None:
         """Take in one batch; a batch of a name that was taken in before is ignored, so a rerun does no harm."""
         if name in self.manifest["batches"]:
             return
         spark, version = self.spark, self.manifest["version"] + 1
-        rows = batch.where(F.col(f"`{self.identifier}`").isNotNull()).select(*[f"`{c}`" for c in self.columns])
-        self.schema = rows.schema
+        self.schema = batch.select(*[f"`{c}`" for c in self.columns]).schema
+        rows = batch.select(*[F.col(f"`{c}`").alias(n) for c, n in self.stored.items()]).where(F.col(self.key).isNotNull())
         stored = T.StructType([*rows.schema.fields, T.StructField("_slot", T.LongType())])
         folder = f"{self.path}/data/{version:06d}-{uuid.uuid4().hex}"
 
         incoming = self._winners(rows).select("w.*")
-        known = T.StructType([rows.schema[self.identifier], T.StructField("_slot", T.LongType())])
+        known = T.StructType([rows.schema[self.key], T.StructField("_slot", T.LongType())])
         if self.manifest["index"]:
-            index = self._read(self.manifest["index"], known).withColumnRenamed(self.identifier, "_id")
-            incoming = incoming.join(index, F.col(self.identifier) == F.col("_id"), "left").drop("_id")
+            index = self._read(self.manifest["index"], known).withColumnRenamed(self.key, "_id")
+            incoming = incoming.join(index, F.col(self.key) == F.col("_id"), "left").drop("_id")
         else:
             incoming = incoming.withColumn("_slot", F.lit(None).cast("bigint"))
         width = max(1, -(-self._rows_of(batch) // self.rows_per_partition))
-        fresh = F.lit(version * 1_000_000) + F.pmod(F.xxhash64(self.identifier), F.lit(width))
-        staged = incoming.select(*self.columns, F.coalesce("_slot", fresh).alias("_slot"), F.col("_slot").isNull().alias("fresh")).withColumn("slot", F.col("_slot"))
+        fresh = F.lit(version * 1_000_000) + F.pmod(F.xxhash64(self.key), F.lit(width))
+        staged = incoming.select(*self.stored.values(), F.coalesce("_slot", fresh).alias("_slot"), F.col("_slot").isNull().alias("fresh")).withColumn("slot", F.col("_slot"))
         staged.hint("rebalance", "slot").write.partitionBy("fresh", "slot").parquet(f"{folder}/staged")
 
         new, touched = self._dirs(f"{folder}/staged/fresh=true"), self._dirs(f"{folder}/staged/fresh=false")
@@ -108,8 +112,7 @@ class DeliveryStore:
             place = {s: i for i, s in enumerate(sorted(touched))}
             place_of = F.element_at(F.create_map(*[F.lit(x) for pair in place.items() for x in pair]), F.col("_slot"))
             both = both.repartitionById(len(place), place_of.cast("int"))  # a partition is of bounded size
-            best = F.min_by(F.struct(*self.columns), winner_order(self.order)).alias("w")
-            merged = both.groupBy("_slot", self.identifier).agg(best).select("w.*", "_slot", F.col("_slot").alias("slot"))
+            merged = self._winners(both, "_slot").select("w.*", "_slot", F.col("_slot").alias("slot"))
             merged.write.partitionBy("slot").parquet(f"{folder}/merged")
             slots |= self._dirs(f"{folder}/merged")
         self._commit(
@@ -127,7 +130,9 @@ class DeliveryStore:
 
     def read(self) -> DataFrame:
         """The winners as of the last commit."""
-        return self._read([self.manifest["slots"][s] for s in sorted(self.manifest["slots"])], self.schema)
+        stored = T.StructType([T.StructField(self.stored[f.name], f.dataType) for f in self.schema.fields])
+        found = self._read([self.manifest["slots"][s] for s in sorted(self.manifest["slots"])], stored)
+        return found.select(*[F.col(n).alias(c) for c, n in self.stored.items()])
 
 
 def merge_batches(df: DataFrame, *, identifier: str, order: list[str], columns: list[str], batch: str) -> DeliveryStore:

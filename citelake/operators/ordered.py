@@ -29,25 +29,26 @@ def uniq_window(rows: Iterable, size: int, key: Callable[[object], Hashable] = l
         yield row
 
 
+def _buffered(rows: Iterable, room: int, key: Callable[[object], object]) -> Iterator:
+    heap: list = []
+    for arrival, row in enumerate(rows):
+        entry = (key(row), arrival, row)
+        if len(heap) < room:
+            heapq.heappush(heap, entry)
+        else:
+            yield heapq.heappushpop(heap, entry)[2]
+    yield from (row for _, _, row in sorted(heap, key=lambda e: e[:2]))
+
+
 def sort_window(rows: Iterable, size: int, key: Callable[[object], object] = lambda x: x, unique: bool = False, dropped: Callable[[object], None] | None = None) -> Iterator:
     """Rows through a buffer of `size` - 1: when it is full the smallest leaves, ties in order of arrival; at the end the rest, sorted.
 
-    A `size` of 1 or less passes rows through. With `unique` a row whose key was seen within the window is dropped first.
+    A `size` of 1 or less passes rows through as they are. With `unique` what leaves the buffer goes through `uniq_window`.
     """
-    if unique:
-        rows = uniq_window(rows, size, key, dropped)
     if size <= 1:
-        yield from rows
-        return
-    heap: list = []
-    for arrival, row in enumerate(rows):
-        entry = (key(row), arrival, row)
-        if len(heap) >= size - 1:
-            yield heapq.heappushpop(heap, entry)[2]
-        else:
-            heapq.heappush(heap, entry)
-    while heap:
-        yield heapq.heappop(heap)[2]
+        return iter(rows)
+    out = _buffered(rows, size - 1, key)
+    return uniq_window(out, size, key, dropped) if unique else out
 
 
 def windowed(df: DataFrame, *, order: str, key: str, size: int, sort: bool = True, unique: bool = False) -> DataFrame:
