@@ -82,8 +82,8 @@ class DeliveryStore:
         best = F.min_by(F.struct(*self.stored.values()), winner_order([self.stored[c] for c in self.order])).alias("w")
         return df.groupBy(*extra, self.key).agg(best)
 
-    def merge(self, batch: DataFrame, name: str) -> None:
-        """Take in one batch; a batch of a name that was taken in before is ignored, so a rerun does no harm."""
+    def merge(self, batch: DataFrame, name: str, rows_in: int | None = None) -> None:
+        """Take in one batch; a batch of a name that was taken in before is ignored, so a rerun does no harm. `rows_in` spares counting it."""
         if name in self.manifest["batches"]:
             return
         spark, version = self.spark, self.manifest["version"] + 1
@@ -99,7 +99,7 @@ class DeliveryStore:
             incoming = incoming.join(index, F.col(self.key) == F.col("_id"), "left").drop("_id")
         else:
             incoming = incoming.withColumn("_slot", F.lit(None).cast("bigint"))
-        width = max(1, -(-self._rows_of(batch) // self.rows_per_partition))
+        width = max(1, -(-(batch.count() if rows_in is None else rows_in) // self.rows_per_partition))
         fresh = F.lit(version * 1_000_000) + F.pmod(F.xxhash64(self.key), F.lit(width))
         staged = incoming.select(*self.stored.values(), F.coalesce("_slot", fresh).alias("_slot"), F.col("_slot").isNull().alias("fresh")).withColumn("slot", F.col("_slot"))
         staged.hint("rebalance", "slot").write.partitionBy("fresh", "slot").parquet(f"{folder}/staged")
@@ -124,10 +124,6 @@ class DeliveryStore:
             }
         )
 
-    @staticmethod
-    def _rows_of(batch: DataFrame) -> int:
-        return batch.count()
-
     def read(self) -> DataFrame:
         """The winners as of the last commit."""
         stored = T.StructType([T.StructField(self.stored[f.name], f.dataType) for f in self.schema.fields])
@@ -139,10 +135,10 @@ def merge_batches(df: DataFrame, *, identifier: str, order: list[str], columns:
     """Put `df` through a new store in the shared folder, one batch after the other by the column `batch` (null first)."""
     spark = df.sparkSession
     store = DeliveryStore(spark, scratch_path(spark, "deliveries"), identifier=identifier, order=order, columns=columns)
-    names = [r["b"] for r in df.select(F.col(batch).alias("b")).distinct().collect()]  # one row per load, not per message
+    sizes = {r["b"]: r["n"] for r in df.groupBy(F.col(batch).alias("b")).agg(F.count("*").alias("n")).collect()}  # one row per load, not per message
     store.schema = df.select(*store.columns).schema
-    for name in sorted(names, key=lambda b: (b is not None, b)):
-        store.merge(df.where(F.col(batch).eqNullSafe(F.lit(name))), str(name))
+    for name in sorted(sizes, key=lambda b: (b is not None, b)):
+        store.merge(df.where(F.col(batch).eqNullSafe(F.lit(name))), str(name), sizes[name])
     return store
 
 
