@@ -60,6 +60,10 @@ EMAIL = re.compile(
     re.VERBOSE | re.IGNORECASE,
 )
 
+#: What stands between the two parts of an address; the pattern is tried where the word before it begins.
+EMAIL_SIGN = re.compile(rf"@|[(\[{{<]{_S}*at{_S}*[)\]}}>]|{_S}at{_S}+\S+{_S}+dot{_S}", re.IGNORECASE)
+LOCAL_CHARS = frozenset("._+%'-")
+
 #: (pattern, score): telephone numbers by shape.
 PHONES = [
     (r"\+\d{1,3}[\s .-]?(?:\(\d{1,4}\)[\s .-]?)?\d{1,5}(?:[\s .-]?\d{2,8}){1,4}", 0.8),
@@ -134,6 +138,8 @@ FULL = re.compile(
 SINGLE = re.compile(rf"{_FAM}|[GB]")
 TITLED = re.compile(r"(?:[CGFB] )?(?:I\.)*(?:P )*[CGFB]|(?:I\.)+(?:P )*[CGFB]")
 INITIALLED = re.compile(r"(?:C )?(?:I\.)+(?:P )*C")
+#: Where any of them can begin.
+BEGINS = re.compile(r"[GBFIP]|C(?= I\.)|(?<=T[ .])C")
 
 
 @dataclass(frozen=True)
@@ -145,12 +151,13 @@ class Span:
 
 
 def _classes(text: str, given: frozenset, family: frozenset) -> tuple[list, str]:
-    words = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(text)]
-    out = []
-    for k, (start, end, word) in enumerate(words):
+    words, out = [], []
+    matches = list(TOKEN.finditer(text))
+    for k, m in enumerate(matches):
+        word, end = m.group(), m.end()
+        words.append((m.start(), end, word))
         low = word.lower().replace("’", "'")
-        after = text[end : words[k + 1][0]] if k + 1 < len(words) else "\n"
-        if len(word) == 1 and word.isupper() and after.startswith("."):
+        if len(word) == 1 and word.isupper() and text[end : end + 1] == ".":
             kind = "I"
         elif low in TITLES:
             kind = "T"
@@ -160,12 +167,14 @@ def _classes(text: str, given: frozenset, family: frozenset) -> tuple[list, str]
             kind = "F"
         elif low in PARTICLES:
             kind = "P"
-        else:
-            kind = "C" if word[0].isupper() else "w"
+        elif word[0].isupper():
+            kind = "C"
+        else:  # what follows such a word is never part of a name
+            out.append("w|")
+            continue
+        after = text[end : matches[k + 1].start()] if k + 1 < len(matches) else "\n"
         bare = after.strip()
-        gap = " " if after and not bare else "." if bare == "." and (kind in "IT") else "," if bare == "," and after != "," else "|"
-        del start
-        out.append(kind + gap)
+        out.append(kind + (" " if after and not bare else "." if bare in (".", ".-") and kind in "IT" else "," if bare == "," and after != "," else "|"))
     return words, "".join(out)
 
 
@@ -184,8 +193,11 @@ def names(text: str, given: frozenset, family: frozenset) -> list[Span]:
             k -= 1
         return k > 0 and (low[k - 1] in CUES or " ".join(low[max(0, k - 2) : k]) in CUES)
 
-    k = 0
-    while k < len(words):
+    done = 0
+    for begin in BEGINS.finditer(coded):
+        k = begin.start() // 2
+        if begin.start() % 2 or k < done:
+            continue
         titled = k > 0 and coded[2 * k - 2] == "T" and coded[2 * k - 1] in " ."
         best = None
         for pattern, score in ((FULL, 0.8), (SINGLE, 0.2), (TITLED, 0.2), (INITIALLED, 0.3)):
@@ -209,28 +221,34 @@ def names(text: str, given: frozenset, family: frozenset) -> list[Span]:
             if coded[2 * (last - 1)] == "I" and text[end : end + 1] == ".":
                 end += 1
             found.append(Span(words[k][0], end, "name", min(1.0, round(score, 2))))
-            k = last
-        else:
-            k += 1
+            done = last
     return found
 
 
 # ---- all kinds -------------------------------------------------------------------------------------------------------
 
 
+#: Where numbers of six digits or more stand; patterns are tried only around these.
+DIGITS = re.compile(r"\d(?:[\s .()/-]{0,3}\d){5,}")
+BEFORE, AFTER = 6, 24
+
+
+def _judge(text: str, kind: str, m: re.Match, score: float, words: re.Pattern, near: int, bonus: float, confirmed: bool) -> Span:
+    before = text[max(0, m.start() - CONTEXT_CHARS) : m.start()]
+    score += bonus * bool(words.search(before[-near:])) - 0.6 * bool(OTHER_WORDS.search(before)) + 0.3 * confirmed
+    return Span(m.start(), m.end(), kind, score)
+
+
 def _numbers(text: str) -> Iterator[Span]:
-    for pattern, score, checksum in ID:
-        for m in pattern.finditer(text):
-            before = text[max(0, m.start() - CONTEXT_CHARS) : m.start()]
-            total = score + 0.5 * bool(ID_WORDS.search(before)) - 0.6 * bool(OTHER_WORDS.search(before))
-            if checksum and checksum(re.sub(r"\D", "", m.group())):
-                total += 0.3
-            yield Span(m.start(), m.end(), "id_number", total)
-    for pattern, score in PHONE:
-        for m in pattern.finditer(text):
-            before = text[max(0, m.start() - CONTEXT_CHARS) : m.start()]
-            total = score + 0.2 * bool(PHONE_WORDS.search(before[-25:])) - 0.6 * bool(OTHER_WORDS.search(before))
-            yield Span(m.start(), m.end(), "phone", total)
+    for region in DIGITS.finditer(text):
+        first, last = max(0, region.start() - BEFORE), min(len(text), region.end() + AFTER)
+        for pattern, score, checksum in ID:
+            for m in pattern.finditer(text, first, last):
+                confirmed = bool(checksum) and checksum(re.sub(r"\D", "", m.group()))
+                yield _judge(text, "id_number", m, score, ID_WORDS, CONTEXT_CHARS, 0.5, confirmed)
+        for pattern, score in PHONE:
+            for m in pattern.finditer(text, first, last):
+                yield _judge(text, "phone", m, score, PHONE_WORDS, 25, 0.2, False)
 
 
 #: Words of an address that need no capital.
@@ -243,8 +261,34 @@ def _is_named(match: re.Match) -> bool:
     return bool(words) and all(w[0].isupper() for w in words)
 
 
+def _emails(text: str) -> Iterator[Span]:
+    for sign in EMAIL_SIGN.finditer(text):
+        end = sign.start()
+        while end and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start and (text[start - 1].isalnum() or text[start - 1] in LOCAL_CHARS):
+            start -= 1
+        for i in range(start, end):
+            if (i == start or text[i - 1] in "%'") and (m := EMAIL.match(text, i)) and m.end() > sign.start():
+                yield Span(m.start(), m.end(), "email", 0.9)
+                break
+
+
+#: For each address pattern, words of which its texts have one (in lower case).
+ADDRESS_WORDS = [
+    None,
+    ("straße", "strasse", "str.", "gasse", "weg", "platz", "allee", "ufer", "damm"),
+    ("rue", "avenue", "boulevard", "quai", "impasse", "allée", "place", "chemin", "cours"),
+    ("calle", "avenida", "plaza", "paseo", "camino", "ronda", "c/"),
+]
+
+
 def _addresses(text: str) -> Iterator[Span]:
-    for pattern in ADDRESS:
+    low = text.lower()
+    for pattern, needed in zip(ADDRESS, ADDRESS_WORDS, strict=True):
+        if needed and not any(w in low for w in needed):
+            continue
         at = 0
         while m := pattern.search(text, at):
             if _is_named(m):
@@ -256,7 +300,6 @@ def mentions(text: str | None, given: frozenset = frozenset(), family: frozenset
     """All mentions in a text, in order, none overlapping another; of two that do, the stronger kind (in the order e-mail, address, higher score) stays."""
     if not text:
         return []
-    strong: list[Span] = [Span(m.start(), m.end(), "email", 0.9) for m in EMAIL.finditer(text)] if "@" in text or re.search(r"\bat\b", text, re.IGNORECASE) else []
     taken: list[Span] = []
 
     def take(spans: list[Span]) -> None:
@@ -264,14 +307,14 @@ def mentions(text: str | None, given: frozenset = frozenset(), family: frozenset
             if s.score >= THRESHOLD and all(s.end <= t.start or s.start >= t.end for t in taken):
                 taken.append(s)
 
-    take(strong)
+    take(list(_emails(text)))
     if any(c.isdigit() for c in text):
         take(list(_addresses(text)))
         take(list(_numbers(text)))
-    rest = list(text)
+    rest = text
     for t in taken:
-        rest[t.start : t.end] = "\0" * (t.end - t.start)
-    take(names("".join(rest), given, family))
+        rest = rest[: t.start] + "\0" * (t.end - t.start) + rest[t.end :]
+    take(names(rest, given, family))
     return sorted(taken, key=lambda s: s.start)
 
 
