@@ -42,7 +42,7 @@ def _text(x: object) -> str | None:
         return x
     if isinstance(x, list) and all(y is None or isinstance(y, str) for y in x):
         return " ".join(y for y in x if y is not None)
-    return json.dumps(x, ensure_ascii=False)
+    return json.dumps(x, ensure_ascii=False, separators=(",", ":"))
 
 
 @dataclass(frozen=True)

@@ -187,6 +187,63 @@ def _profile_sql() -> str:
     UNION ALL SELECT NULL, column_name, true, {stats} FROM cells GROUP BY column_name"""
 
 
+def _listed(raw: str, text_is_json: bool = False) -> str:
+    """SQL for the elements of `raw` as a JSON array: an array, one element in its place, or what JSON text holds."""
+    if text_is_json:
+        raw = f"(CASE WHEN json_type({raw}) = 'VARCHAR' THEN CASE WHEN json_valid({raw} ->> '$') THEN ({raw} ->> '$')::JSON END ELSE {raw} END)"
+    return f"CASE json_type({raw}) WHEN 'ARRAY' THEN {raw} WHEN 'NULL' THEN NULL ELSE CASE WHEN {raw}::VARCHAR <> '\"\"' THEN json_array({raw}) END END"
+
+
+_FULL = "json_type(e) <> 'NULL' AND e::VARCHAR NOT IN ('{}', '[]') AND NOT (json_type(e) = 'VARCHAR' AND trim(e ->> '$', E' \\t\\n\\r') = '')"
+
+
+def _elements(name: str, source: str, keys: str, arr: str, place: str) -> str:
+    at = f"json_extract(a, '$[' || {place} || ']')"
+    return f"""{name} AS (SELECT {keys}, {place}, {at} AS e FROM (
+      SELECT {keys}, a, unnest(range(json_array_length(a)::BIGINT)) AS {place} FROM (SELECT {keys}, {arr} AS a FROM {source}) WHERE a IS NOT NULL))"""
+
+
+_NESTED = "WITH " + ", ".join(
+    [
+        _elements("items", "works_pages", "member", "CASE WHEN json_valid(content) THEN " + _listed("json_extract(content, '$.message.items')") + " END", "item_no"),
+        "works AS (SELECT member, item_no, e AS w FROM items WHERE json_type(e) = 'OBJECT' AND e::VARCHAR <> '{}')",
+        _elements("authors_", "works", "member, item_no", _listed("json_extract(w, '$.author')", True), "child_no"),
+        f"authors AS (SELECT * FROM authors_ WHERE {_FULL})",
+        _elements("affiliations_", "authors", "member, item_no, child_no", _listed("json_extract(e, '$.affiliation')"), "sub_no"),
+        f"affiliations AS (SELECT * FROM affiliations_ WHERE {_FULL})",
+        _elements("refs_", "works", "member, item_no", _listed("json_extract(w, '$.reference')", True), "child_no"),
+        f"refs AS (SELECT * FROM refs_ WHERE {_FULL})",
+        _elements("subjects_", "works", "member, item_no", _listed("json_extract(w, '$.subject')"), "child_no"),
+        f"subjects AS (SELECT * FROM subjects_ WHERE {_FULL} AND json_type(e) NOT IN ('OBJECT', 'ARRAY')) ",
+    ]
+)
+_PLACES = "member, item_no::INT AS item_no, child_no::INT AS child_no"
+
+
+def _listed_text(key: str) -> str:
+    v = f"json_extract(w, '$.\"{key}\"')"
+    return f"CASE json_type({v}) WHEN 'ARRAY' THEN array_to_string(from_json({v}, '[\"VARCHAR\"]'), ' ') ELSE {v} ->> '$' END"
+
+
+_SHIFTS = """
+WITH cells AS (
+  SELECT load_no, 'reference_count' AS column_name, reference_count::DOUBLE AS v FROM crossref_works_summaries
+  UNION ALL SELECT load_no, 'num_references', num_references FROM crossref_works_summaries
+  UNION ALL SELECT load_no, 'author_count', author_count FROM crossref_works_summaries),
+sums AS (
+  SELECT load_no, column_name, count(v) AS n, coalesce(sum(v), 0) AS s1, coalesce(sum(v*v), 0) AS s2, coalesce(sum(v*v*v), 0) AS s3, coalesce(sum(v*v*v*v), 0) AS s4
+  FROM (SELECT load_no, column_name, CASE WHEN v BETWEEN 0 AND 10000 THEN v END AS v FROM cells) GROUP BY ALL),
+whole AS (SELECT column_name, sum(n) AS cn, sum(s1) AS c1, sum(s2) AS c2 FROM sums GROUP BY ALL),
+m AS (
+  SELECT *, s1 / nullif(n, 0) AS mean, (c1 - s1) / nullif(cn - n, 0) AS rest, s2 / nullif(n, 0) AS m2, s3 / nullif(n, 0) AS m3, s4 / nullif(n, 0) AS m4,
+    (c2 - s2) / nullif(cn - n, 0) AS r2 FROM sums JOIN whole USING (column_name) WHERE cn > 0),
+d AS (SELECT *, m2 - mean * mean AS var, r2 - rest * rest AS rvar FROM m)
+SELECT load_no, column_name, round(mean, 6) AS mean, round(rest, 6) AS rest_mean, round(sqrt(greatest(var, 0)), 6) AS deviation,
+  CASE WHEN var > 0 THEN round((m3 - 3 * mean * m2 + 2 * mean * mean * mean) / pow(var, 1.5), 4) END AS skewness,
+  CASE WHEN var > 0 THEN round((m4 - 4 * mean * m3 + 6 * mean * mean * m2 - 3 * mean * mean * mean * mean) / (var * var) - 3, 4) END AS kurtosis,
+  CASE WHEN var + rvar > 0 THEN round((mean - rest) / sqrt((var + rvar) / 2), 6) END AS standardised_difference FROM d
+"""
+
 ORACLES = {
     "p1_found": _ORPHANS + "SELECT row_id, field FROM judged WHERE withdrawn OR missing",
     "p1_orphan_report": _ORPHANS
@@ -195,6 +252,20 @@ ORACLES = {
     strftime(received_at, '%Y-%m') AS month, count(*) AS n_orphans FROM judged WHERE withdrawn OR missing GROUP BY ALL""",
     "p2_found": _LOSERS + "SELECT row_id FROM ranked WHERE place > 1",
     "p2_kept": _LOSERS + "SELECT row_id, doi, title, publisher, type, provenance, load_no FROM ranked WHERE place = 1",
+    "p3_found": _NESTED
+    + """SELECT member, item_no::INT AS item_no, kind, child_no::INT AS child_no, sub_no::INT AS sub_no FROM (
+    SELECT member, item_no, 'author' AS kind, child_no, -1 AS sub_no FROM authors UNION ALL SELECT member, item_no, 'affiliation', child_no, sub_no FROM affiliations
+    UNION ALL SELECT member, item_no, 'reference', child_no, -1 FROM refs UNION ALL SELECT member, item_no, 'subject', child_no, -1 FROM subjects)""",
+    "p3_works": _NESTED
+    + f"""SELECT member, item_no::INT AS item_no, w ->> '$.DOI' AS doi, {_listed_text("title")} AS title, {_listed_text("publisher")} AS publisher,
+    {_listed_text("container-title")} AS container_title, w ->> '$.type' AS type, w ->> '$."reference-count"' AS reference_count,
+    w ->> '$."is-referenced-by-count"' AS referenced_by_count, w ->> '$.created."date-time"' AS created FROM works""",
+    "p3_authors": _NESTED + f"SELECT {_PLACES}, e ->> '$.given' AS given, e ->> '$.family' AS family, e ->> '$.sequence' AS sequence FROM authors",
+    "p3_affiliations": _NESTED + f"SELECT {_PLACES}, sub_no::INT AS sub_no, e ->> '$.name' AS affiliation_name FROM affiliations",
+    "p3_subjects": _NESTED + f"SELECT {_PLACES}, e ->> '$' AS subject FROM subjects",
+    "p3_references": _NESTED
+    + f"SELECT {_PLACES}, e ->> '$.key' AS reference_key, e ->> '$.DOI' AS reference_doi, e ->> '$.year' AS reference_year, json(e)::VARCHAR AS reference_json FROM refs",
+    "p6_shifts": _SHIFTS,
     "p6_found": _NUMBERS
     + """, j AS (SELECT l.*, c.mean AS cm, c.nulls / c.n AS cs FROM loads l JOIN cols c USING (column_name))
     SELECT load_no, column_name, 'nulls' AS mark FROM j WHERE nulls / n - cs > 0.2
