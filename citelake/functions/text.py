@@ -72,8 +72,8 @@ def percentage(part: Column, whole: Column) -> Column:
 
 
 def year_of(c: Column) -> Column:
-    """The year of an ISO timestamp (session time zone); malformed text raises."""
-    return F.year(F.to_timestamp(c))
+    """The year in UTC of an ISO timestamp, whatever the session's time zone; malformed text raises."""
+    return F.year(F.to_utc_timestamp(F.to_timestamp(c), F.current_timezone()))
 
 
 def equal_ignoring_case(a: Column, b: Column) -> Column:

@@ -132,13 +132,25 @@ class DeliveryStore:
 
 
 def merge_batches(df: DataFrame, *, identifier: str, order: list[str], columns: list[str], batch: str) -> DeliveryStore:
-    """Put `df` through a new store in the shared folder, one batch after the other by the column `batch` (null first)."""
+    """Put `df` through a new store in the shared folder, one batch after the other by the column `batch` (null first).
+
+    The needed columns are first laid out by batch, as deliveries would arrive, so no batch reads another's rows.
+    """
     spark = df.sparkSession
     store = DeliveryStore(spark, scratch_path(spark, "deliveries"), identifier=identifier, order=order, columns=columns)
-    sizes = {r["b"]: r["n"] for r in df.groupBy(F.col(batch).alias("b")).agg(F.count("*").alias("n")).collect()}  # one row per load, not per message
-    store.schema = df.select(*store.columns).schema
-    for name in sorted(sizes, key=lambda b: (b is not None, b)):
-        store.merge(df.where(F.col(batch).eqNullSafe(F.lit(name))), str(name), sizes[name])
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in store.stored.items()], F.col(f"`{batch}`").alias("batch"))
+    sizes = {r["batch"]: r["n"] for r in rows.groupBy("batch").agg(F.count("*").alias("n")).collect()}  # one row per load, not per message
+    store.schema = df.select(*[f"`{c}`" for c in store.columns]).schema
+    names = sorted(sizes, key=lambda b: (b is not None, b))
+    if not names:
+        return store
+    number = F.coalesce(*[F.when(F.col("batch").eqNullSafe(F.lit(b)), F.lit(i)) for i, b in enumerate(names)])
+    landing = scratch_path(spark, "landing")
+    rows.withColumn("part", number).drop("batch").hint("rebalance", "part").write.partitionBy("part").parquet(landing)
+    landed = rows.drop("batch").schema
+    back = [F.col(n).alias(c) for c, n in store.stored.items()]
+    for i, b in enumerate(names):
+        store.merge(spark.read.schema(landed).parquet(f"{landing}/part={i}").select(*back), str(b), sizes[b])
     return store
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citelake.session import materialise
+
 
 def uniq_window(rows: Iterable, size: int, key: Callable[[object], Hashable] = lambda x: x, dropped: Callable[[object], None] | None = None) -> Iterator:
     """Rows whose key is not among those remembered. At `size` keys the one remembered last is forgotten for the new one."""
@@ -93,12 +95,19 @@ def in_batches(df: DataFrame, order: str, size: int) -> DataFrame:
 def numbered(df: DataFrame, order: str, name: str = "id") -> DataFrame:
     """Dense numbers from 0 in the order of a column: ranges are sorted in parallel, and each adds the sizes of those before it.
 
-    Equal values are numbered one after the other. Counts per partition go through the driver: one number a partition.
+    Equal values are numbered one after the other. Only the sizes, one number a range, go through the driver.
     """
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order)
-    schema = T.StructType([T.StructField(name, T.LongType()), *df.schema.fields])
-    pairs = ranged.rdd.zipWithIndex().map(lambda x: (x[1], *x[0]))
-    return df.sparkSession.createDataFrame(pairs, schema)
+    mask = (1 << 33) - 1  # monotonically_increasing_id: the range above, the place in it below
+    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = materialise(ranged, "ranged").withColumn("_range", F.shiftright("_at", 33))
+    sizes = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    starts, total = [], 0
+    for r in sorted(sizes):
+        starts.append((r, total))
+        total += sizes[r]
+    offsets = df.sparkSession.createDataFrame(starts, "_range bigint, _start bigint")
+    placed = ranged.join(F.broadcast(offsets), "_range")  # one row a range
+    return placed.select((F.col("_start") + F.col("_at").bitwiseAND(mask)).alias(name), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def doi_dictionary(links: DataFrame, columns: list[str]) -> DataFrame:

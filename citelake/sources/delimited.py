@@ -6,6 +6,7 @@ import csv
 import gzip
 import os
 import shutil
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +92,15 @@ def write_typed(summaries: DataFrame, path: str) -> None:
     out.withColumnRenamed("debug", "references").write.mode("overwrite").parquet(path)
 
 
+def fan_out(df: DataFrame, *consumers: Callable[[DataFrame], object]) -> list:
+    """Several results from one scan: the rows are kept (spilling to disk) while the consumers run."""
+    kept = df.persist()
+    try:
+        return [consume(kept) for consume in consumers]
+    finally:
+        kept.unpersist()
+
+
 def split_corrupt(df_text: DataFrame, schema: str, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """JSON lines parsed to `schema`, and the lines that don't parse, to be put aside."""
     parsed = df_text.withColumn("_parsed", F.from_json(F.col(column), f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))

@@ -49,6 +49,10 @@ def test_corrupt_lines_are_put_aside(spark):
     assert [tuple(r) for r in good.collect()] == [(1,)] and [r["value"] for r in bad.collect()] == ["{broken"]
 
 
+def test_fan_out(spark):
+    assert delimited.fan_out(spark.range(5), lambda d: d.count(), lambda d: d.where("id > 3").count()) == [5, 1]
+
+
 def test_typed_export(spark, tmp_path):
     df = spark.createDataFrame([("d", "2019-01-02T03:04:05Z", 1, "[]")], "doi string, created string, has_references int, debug string")
     delimited.write_typed(df, str(tmp_path / "w"))
