@@ -153,8 +153,8 @@ def test_leaks_against_brute_force(spark):
         w = words_of(t)
         held = {tuple(w[k : k + 12]) for k in range(len(w) - 11)}
         expected.update((d, i) for i, r in runs.items() if r & held)
-    for item_bytes in (8 << 20, 2_000):
-        found = leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string, item_id string"), spark.createDataFrame(items, "item_id bigint, text string"), item_bytes=item_bytes)
+    for item_chars in (8 << 20, 2_000):
+        found = leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string, item_id string"), spark.createDataFrame(items, "item_id bigint, text string"), item_chars=item_chars)
         assert Counter((r["doc_id"], r["item_id"]) for r in found.where("edits = 0").collect()) == expected
 
 
@@ -183,6 +183,61 @@ def test_near_copies_within_the_budget(spark):
     assert set(got) == {0, 1, 2}
 
 
+def nearest(window, text):
+    """Fewest edits of `window` against any part of `text`."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(window, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def planted(seed, vocabulary):
+    """Items, and documents that hold parts of them with up to three edits anywhere."""
+    rng = random.Random(seed)
+    pick = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, pick(rng.choice([12, 14, 20]))) for i in range(6)] + [(50, "boiler plate " * 9)]
+    docs = []
+    for d in range(40):
+        words = rng.choice(items)[1].split()
+        start = rng.randrange(len(words) - 11)
+        run = list(" ".join(words[start : start + 12 + rng.randrange(3)]))
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(run))
+            run[k : k + 1] = rng.choice([[], ["z"], [" "], [run[k], "y"], ["a", run[k]]])
+        docs.append((d, f"{pick(rng.randrange(9))} {''.join(run)} {pick(rng.randrange(9))}"))
+    return items, docs
+
+
+@pytest.mark.parametrize("seed, vocabulary", [(1, list("abcdefg")), (2, ["a", "of", "to", "in", "x", "we"]), (3, ["house", "in", "winter", "greyish", "boiler", "plate"])])
+def test_every_near_copy_is_found(spark, monkeypatch, seed, vocabulary):
+    """Recall and precision of near copies against brute force, with windows shorter than 36 characters and a gram that all share."""
+    items, docs = planted(seed, vocabulary)
+    form = lambda t: f" {' '.join(re.findall(r'[^\W_]+', t.lower()))} "
+    expected = set()
+    for i, item in items:
+        w = item.split()
+        windows = {form(" ".join(w[k : k + 12])) for k in range(len(w) - 11)}
+        for d, text in docs:
+            fewest = min(nearest(x, form(text)) for x in windows)
+            if fewest <= 2:
+                expected.add((d, i, fewest))
+    assert sum(1 for _, _, e in expected if e) > 10
+    held = leakage.Items([i for i, _ in items], [t for _, t in items])
+    for most in (leakage.HITS_AT_A_TIME, 40):
+        monkeypatch.setattr(leakage, "HITS_AT_A_TIME", most)
+        codes, starts, _ = leakage.normal_forms([t for _, t in docs], held.gap, held.margin)
+        got = {(docs[t][0], int(held.ids[i]), e) for t, i, e, _ in leakage.find(held, codes, starts)}
+        assert got == expected
+    whole, blocks = (
+        sorted(tuple(r) for r in leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), item_chars=n).collect())
+        for n in (1 << 20, 150)
+    )
+    assert whole == blocks and {r[:3] for r in whole} == expected
+
+
 def test_leaks_of_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame([], "item_id bigint, text string")
     full = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
