@@ -8,8 +8,10 @@ prefix sums by bucket, buckets below the one where the budget ends are taken as
 
 from __future__ import annotations
 
+import base64
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,37 +20,50 @@ from pyspark.sql.window import Window
 
 from citelake.session import materialise
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how the byte-level vocabulary cuts a text into pieces.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+LEAST_WEIGHT = 0.05
 ROWS_PER_BUCKET = 50_000
 WORD = re.compile(r"[^\W_]+")
 SIZED = "doc_id bigint, source string, n_tokens bigint, weight double"
 
 
 def quality(text: str) -> float:
-    """A weight in [0.05, 1]: the share of letters and digits among the visible characters, times half plus half the share of different words."""
+    """A weight from `LEAST_WEIGHT` to 1: the share of letters and digits among the visible characters, times half plus half the share of different words."""
     found = WORD.findall(text.lower())
     visible = sum(map(len, text.split()))
     if not found or not visible:
-        return 0.05
-    return max(0.05, sum(map(len, found)) / visible * (0.5 + 0.5 * len(set(found)) / len(found)))
+        return LEAST_WEIGHT
+    return max(LEAST_WEIGHT, sum(map(len, found)) / visible * (0.5 + 0.5 * len(set(found)) / len(found)))
 
 
-def _measure(vocabulary: str, texts_at_a_time: int = 256):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+def _counter(vocabulary: str) -> Callable[[list[str]], list[int]]:
+    """Counts the tokens of texts by a public vocabulary: `.tiktoken` ranks or a `.json` tokenizer. Special tokens in a text are ordinary text."""
+    if vocabulary.endswith(".tiktoken"):
+        import tiktoken
+
+        with open(vocabulary, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        encode = tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda texts: [len(encode(t)) for t in texts]
+    from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(vocabulary)
+    tokenizer.encode_special_tokens = True
+    return lambda texts: [len(e) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True
+
+def _measure(vocabulary: str, texts_at_a_time: int = 256):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(vocabulary)
         for batch in batches:
             for start in range(0, batch.num_rows, texts_at_a_time):
                 part = batch.slice(start, texts_at_a_time)
                 texts = [t or "" for t in part.column(2).to_pylist()]
-                sizes = [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array([quality(t) for t in texts], pa.float64())],
+                    [part.column(0), part.column(1), pa.array(count(texts), pa.int64()), pa.array([quality(t) for t in texts], pa.float64())],
                     names=["doc_id", "source", "n_tokens", "weight"],
                 )
 
@@ -66,7 +81,8 @@ def _uniform(seed: int, *columns: str) -> Column:
 
 
 def exponential_key(seed: int) -> Column:
-    return -F.log(_uniform(seed, "doc_id", "source", "n_tokens")) / F.col("weight")
+    """Exponential by weight; a weight that is null or below `LEAST_WEIGHT` counts as that."""
+    return -F.log(_uniform(seed, "doc_id", "source", "n_tokens")) / F.greatest(F.col("weight"), F.lit(LEAST_WEIGHT))
 
 
 def source_targets(targets: DataFrame) -> list[tuple[str, float, int]]:
@@ -101,8 +117,9 @@ def mix(sized: DataFrame, targets: DataFrame, *, total: int | None = None, seed:
     `sized` is read several times, so store it first. Rows alike in id, source and size count as `n_rows` copies of one
     document, and `times` is how often they are used together; no copy is used more than the source's cap. Documents without
     tokens, without a source, or of a source without a target are not chosen. The sample depends on the seed and the
-    documents alone, not on how they are partitioned. Shares: `(source, target_share, max_repeats, available_tokens, epochs,
-    chosen_tokens, n_documents, actual_share)` for every target, zeros where nothing could be chosen.
+    documents alone, not on how they are partitioned. A source ends within half a document of its
+    budget. Shares: `(source, target_share, max_repeats, available_tokens, budget_tokens, epochs, chosen_tokens, n_documents,
+    actual_share)` for every target, zeros where nothing could be chosen.
     """
     spark = sized.sparkSession
     wanted = source_targets(targets)
@@ -115,8 +132,9 @@ def mix(sized: DataFrame, targets: DataFrame, *, total: int | None = None, seed:
     plan = budgets(wanted, available, total)
     plan_df = spark.createDataFrame(plan, "source string, target_share double, max_repeats int, available_tokens bigint, epochs bigint, rest bigint")
 
-    buckets = max(1024, sum(r["docs"] for r in stats) // ROWS_PER_BUCKET)
-    docs = docs.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * buckets)).withColumn("size", F.col("n_tokens") * F.col("n_rows"))
+    # Buckets part every doubling of the key alike, so whatever the weights, none holds more than about 0.4 / `parts` of a source.
+    parts = max(256, sum(r["docs"] for r in stats) // ROWS_PER_BUCKET)
+    docs = docs.withColumn("bucket", F.floor(F.log2("key") * parts)).withColumn("size", F.col("n_tokens") * F.col("n_rows"))
     by_bucket = docs.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
     running = F.sum("size").over(Window.partitionBy("source").orderBy("bucket"))  # one row per bucket
     prefix = by_bucket.withColumn("upto", running).join(F.broadcast(plan_df.select("source", "rest")), "source")
@@ -131,9 +149,11 @@ def mix(sized: DataFrame, targets: DataFrame, *, total: int | None = None, seed:
     room = F.col("rest") - F.col("before") - ahead
     at_edge = base.where("bucket = edge").withColumn("room", room)
     fits = F.least(F.col("n_rows"), F.floor(F.greatest(F.col("room"), F.lit(0)) / F.col("n_tokens")))
-    # The prefix ends at the first document that does not fit whole.
+    # The prefix ends at the first document that does not fit whole; it is used once more if that comes nearer to the budget.
     blocked = F.max(F.when(fits < F.col("n_rows"), 1).otherwise(0)).over(order)
-    at_edge = at_edge.withColumn("extra", F.when(F.coalesce(blocked, F.lit(0)) == 1, 0).otherwise(fits)).drop("room")
+    left = F.col("room") - fits * F.col("n_tokens")
+    last = F.when((fits < F.col("n_rows")) & (2 * left > F.col("n_tokens")), 1).otherwise(0)
+    at_edge = at_edge.withColumn("extra", F.when(F.coalesce(blocked, F.lit(0)) == 1, 0).otherwise(fits + last)).drop("room")
     used = clear.unionByName(at_edge).withColumn("times", F.col("epochs") * F.col("n_rows") + F.col("extra"))
     chosen = used.where("times > 0").select("doc_id", "source", "n_tokens", "n_rows", F.col("times").cast("bigint").alias("times"))
 
@@ -142,7 +162,7 @@ def mix(sized: DataFrame, targets: DataFrame, *, total: int | None = None, seed:
     shares = plan_df.join(F.broadcast(got), "source", "left").fillna(0, ["chosen_tokens", "n_documents"])
     shares = shares.withColumn("all_tokens", F.sum("chosen_tokens").over(whole))
     shares = shares.select(
-        "source", "target_share", "max_repeats", "available_tokens", "epochs", "chosen_tokens", "n_documents",
+        "source", "target_share", "max_repeats", "available_tokens", (F.col("epochs") * F.col("available_tokens") + F.col("rest")).alias("budget_tokens"), "epochs", "chosen_tokens", "n_documents",
         F.round(F.when(F.col("all_tokens") > 0, F.col("chosen_tokens") / F.nullif(F.col("all_tokens"), F.lit(0))).otherwise(0.0), 6).alias("actual_share"),
     )
     return chosen, shares

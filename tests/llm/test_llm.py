@@ -255,7 +255,8 @@ def brute_mix(rows, plan, seed_keys):
         left, open_ = rest, True
         for doc, tokens, n in seed_keys[source]:
             extra = min(n, left // tokens) if open_ else 0
-            open_ = open_ and extra == n
+            if open_ and extra < n:
+                open_, extra = False, extra + (2 * (left - extra * tokens) > tokens)
             left -= extra * tokens
             if epochs * n + extra:
                 out[doc, source, tokens] = epochs * n + extra
@@ -280,6 +281,8 @@ def test_mix_against_brute_force(spark, monkeypatch):
         caps = {"a": 1, "b": 3, "c": 1}
         assert all(r["times"] <= caps[r["source"]] * r["n_rows"] for r in chosen.collect())
         got = {r["source"]: r for r in shares.collect()}
+        largest = {s: max((k for _, k, _ in v), default=0) for s, v in order.items()}
+        assert all(2 * abs(r["chosen_tokens"] - r["budget_tokens"]) <= largest[s] for s, r in got.items())
         assert set(got) == {"a", "b", "c", "none"} and got["none"]["chosen_tokens"] == 0
         if total is None:
             assert all(got[s]["actual_share"] == pytest.approx(w / 0.9, abs=0.02) for s, w in (("a", 0.5), ("b", 0.3), ("c", 0.1)))
@@ -311,11 +314,15 @@ def test_mix_of_nothing(spark):
 def test_sizes_are_tokens(spark):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(mixing.VOCABULARY)
+    other = mixing.VOCABULARY.replace(".tiktoken", ".json")
+    tokenizer = Tokenizer.from_file(other)
+    tokenizer.encode_special_tokens = True
     texts = ["Hello world, it's 2019.", "", None, " \n", "é" * 3000, "<|endoftext|> is text"]
-    rows = mixing.sized_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("source", F.lit("s"))).collect()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("source", F.lit("s"))
+    rows = mixing.sized_documents(docs).collect()
     got = {r["doc_id"]: r["n_tokens"] for r in rows}
-    assert got[1] == got[2] == 0 and got[0] == len(tokenizer.encode(texts[0]).ids) and got[5] > 3
+    assert got == {i: len(tokenizer.encode(t or "").ids) for i, t in enumerate(texts)} and got[1] == got[2] == 0
+    assert got == {r["doc_id"]: r["n_tokens"] for r in mixing.sized_documents(docs, vocabulary=other).collect()}
     assert all(0.05 <= r["weight"] <= 1 for r in rows)
 
 
