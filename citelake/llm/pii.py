@@ -2,18 +2,22 @@
 
 A proposal starts with its pattern's score. A valid checksum (Luhn, mod 97, weighted mod 11) and a context word nearby raise
 it, a word of another kind of number (ISBN, DOI, shelf mark) lowers it; from `THRESHOLD` on it is a mention. Person names are
-read from a text's words by class (given name, family name, initial, particle, title, capitalised word): a lexicon of names
-gives the first two, titles and phrases that introduce a person make up for a missing or ambiguous entry.
+read from a text's words by class (given name, family name, initial, particle, title, capitalised word): a table of names
+gives the first two, titles and words that introduce a person make up for a missing or ambiguous entry. The table goes to the
+tasks as sorted 64-bit hashes while it is small, and is joined with the words of the texts beyond that.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.6
@@ -105,10 +109,10 @@ _SEP = rf"{_S}*,?{_S}+"
 #: A place: a word, some second words of places, a postcode after it.
 _PLACE = rf"{_W}(?:{_S}+(?:bay|beach|city|town|hill|heath|green|park|falls|springs)(?!\w))?(?:{_S}+[a-z]{{1,2}}\d{{1,2}}[a-z]?{_S}+\d[a-z]{{2}}(?!\w))?"
 ADDRESSES = [
-    rf"(?:{_UNIT}{_S}+\w{{1,5}}{_SEP})?\d{{1,5}}[a-z]?{_S}+(?:{_W}{_S}+){{1,3}}?{_TYPE}(?!\w)(?:{_SEP}{_UNIT}{_S}+\w{{1,5}})?{_SEP}{_PLACE}",
+    rf"(?:{_UNIT}{_S}+\w{{1,5}}{_SEP})?\d{{1,5}}[a-z]?{_S}+(?:{_W}{_S}+){{1,6}}?{_TYPE}(?!\w)(?:{_SEP}{_UNIT}{_S}+\w{{1,5}})?{_SEP}{_PLACE}",
     rf"[^\W\d_][\w-]*(?:stra(?:ß|ss)e|str\.|gasse|weg|platz|allee|ufer|damm){_S}+\d{{1,4}}[a-z]?{_S}*,{_S}*\d{{5}}{_S}+{_PLACE}",
-    rf"\d{{1,4}}(?:{_S}?(?:bis|ter))?,?{_S}+(?:rue|avenue|boulevard|quai|impasse|allée|place|chemin|cours){_S}+(?:{_W}{_S}?){{1,4}},{_S}*\d{{5}}{_S}+{_PLACE}",
-    rf"(?:calle|avenida|plaza|paseo|camino|ronda|c/){_S}+(?:{_W}{_S}?){{1,4}}?,?{_S}*(?:núm\.|nº|n\.º|no\.)?{_S}*\d{{1,4}}{_S}*,{_S}*(?:\d{{5}}{_S}+)?{_PLACE}",
+    rf"\d{{1,4}}(?:{_S}?(?:bis|ter))?,?{_S}+(?:rue|avenue|boulevard|quai|impasse|allée|place|chemin|cours){_S}+{_W}(?:{_S}+{_W}){{0,5}}{_S}*,{_S}*\d{{5}}{_S}+{_PLACE}",
+    rf"(?:calle|avenida|plaza|paseo|camino|ronda|c/){_S}+{_W}(?:{_S}+{_W}){{0,5}}?,?{_S}*(?:núm\.|nº|n\.º|no\.)?{_S}*\d{{1,4}}{_S}*,{_S}*(?:\d{{5}}{_S}+)?{_PLACE}",
 ]
 ADDRESS = [re.compile(rf"(?<![\w./-]){p}", re.IGNORECASE) for p in ADDRESSES]
 
@@ -117,11 +121,15 @@ ADDRESS = [re.compile(rf"(?<![\w./-]){p}", re.IGNORECASE) for p in ADDRESSES]
 TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*")
 TITLES = frozenset("mr mrs ms miss dr prof professor mx sir herr frau mme mlle madame monsieur sr sra señor señora don doña".split())
 PARTICLES = frozenset("van von der den de la le du del della di da dos mac mc ten ter el al bin ibn st".split())
-#: Phrases that introduce a person, as the words right before a name.
+#: Words right before a name that introduce a person: greetings and closings, thanks, roles, and words for who did, got or said something.
 CUES = frozenset(
-    "dear|hello|hi|signed|contact|reviewer|regards|wishes|sincerely|yours|cheers|correspondence|korrespondenz|correspondance|correspondencia|danken|remercions|"
-    "agradecemos a|issued to|grateful to|addressed to|according to|again by|interview with|listed as|notes of|next to|thank|thanks to|attn".split("|")
+    "dear hello hi hey liebe lieber sehr geehrte geehrter cher chère estimado estimada querido querida "
+    "signed regards wishes sincerely yours faithfully cheers grüße gruß cordialement salutations saludos atentamente "
+    "thank thanks danken danke dank remercions merci agradecemos gracias "
+    "reviewer referee author editor contact attn correspondence korrespondenz correspondance correspondencia interviewer sender recipient "
+    "by von par por with mit avec con to an à from as".split()
 )
+BETWEEN = re.compile(r"[\s,:;–-]*")  # what may stand between it and the name
 #: Names that are everyday words too; in lower case they are names only where a person is introduced.
 EVERYDAY = frozenset(
     "art banks bill black brown bush christian cook day drew east faith field ford fox frank gene grace green hill hope hunt iris jack joy june king lane little long "
@@ -150,26 +158,40 @@ class Span:
     score: float
 
 
-def _classes(text: str, given: frozenset, family: frozenset) -> tuple[list, str]:
+class Kinds(dict):
+    """The class of each word, found out once: T title, B given and family name, G given, F family, P particle, C capitalised, w any other."""
+
+    def __init__(self, given: Container[str] = frozenset(), family: Container[str] = frozenset()):
+        super().__init__()
+        self.given, self.family = given, family
+
+    def __missing__(self, word: str) -> str:
+        low = folded(word)
+        if low in TITLES:
+            kind = "T"
+        elif low in self.given:
+            kind = "B" if low in self.family else "G"
+        elif low in self.family:
+            kind = "F"
+        else:
+            kind = "P" if low in PARTICLES else "C" if word[0].isupper() else "w"
+        self[word] = kind
+        return kind
+
+
+def folded(word: str) -> str:
+    """A word as it is in the table of names."""
+    return word.lower().replace("’", "'")
+
+
+def _classes(text: str, kinds: Kinds) -> tuple[list, str]:
     words, out = [], []
     matches = list(TOKEN.finditer(text))
     for k, m in enumerate(matches):
         word, end = m.group(), m.end()
         words.append((m.start(), end, word))
-        low = word.lower().replace("’", "'")
-        if len(word) == 1 and word.isupper() and text[end : end + 1] == ".":
-            kind = "I"
-        elif low in TITLES:
-            kind = "T"
-        elif low in given:
-            kind = "B" if low in family else "G"
-        elif low in family:
-            kind = "F"
-        elif low in PARTICLES:
-            kind = "P"
-        elif word[0].isupper():
-            kind = "C"
-        else:  # what follows such a word is never part of a name
+        kind = "I" if len(word) == 1 and word.isupper() and text[end : end + 1] == "." else kinds[word]
+        if kind == "w":  # what follows such a word is never part of a name
             out.append("w|")
             continue
         after = text[end : matches[k + 1].start()] if k + 1 < len(matches) else "\n"
@@ -182,16 +204,15 @@ def _capital(words: list, first: int, last: int) -> bool:
     return all(w[0].isupper() for _, _, w in words[first:last] if w.lower() not in PARTICLES)
 
 
-def names(text: str, given: frozenset, family: frozenset) -> list[Span]:
+def names(text: str, kinds: Kinds) -> list[Span]:
     """Person names of a text, without titles."""
-    words, coded = _classes(text, given, family)
-    low = [w.lower() for _, _, w in words]
+    words, coded = _classes(text, kinds)
     found: list[Span] = []
 
     def introduced(k: int) -> bool:
         if k and coded[2 * (k - 1)] == "T":
             k -= 1
-        return k > 0 and (low[k - 1] in CUES or " ".join(low[max(0, k - 2) : k]) in CUES)
+        return k > 0 and words[k - 1][2].lower() in CUES and BETWEEN.fullmatch(text, words[k - 1][1], words[k][0]) is not None
 
     done = 0
     for begin in BEGINS.finditer(coded):
@@ -210,7 +231,7 @@ def names(text: str, given: frozenset, family: frozenset) -> list[Span]:
             if not _capital(words, k, last):
                 if pattern is not FULL:
                     continue
-                score -= 0.4 if all(w in EVERYDAY for w in low[k:last]) else 0.2
+                score -= 0.4 if all(w.lower() in EVERYDAY for _, _, w in words[k:last]) else 0.2
             score += 0.5 * titled + 0.4 * introduced(k)
             if score >= THRESHOLD:
                 best = (last, score)
@@ -231,6 +252,7 @@ def names(text: str, given: frozenset, family: frozenset) -> list[Span]:
 #: Where numbers of six digits or more stand; patterns are tried only around these.
 DIGITS = re.compile(r"\d(?:[\s .()/-]{0,3}\d){5,}")
 BEFORE, AFTER = 6, 24
+DIGIT = re.compile(r"\d")
 
 
 def _judge(text: str, kind: str, m: re.Match, score: float, words: re.Pattern, near: int, bonus: float, confirmed: bool) -> Span:
@@ -296,26 +318,30 @@ def _addresses(text: str) -> Iterator[Span]:
             at = m.end() if _is_named(m) else m.start() + 1
 
 
-def mentions(text: str | None, given: frozenset = frozenset(), family: frozenset = frozenset()) -> list[Span]:
+def mentions(text: str | None, kinds: Kinds | None = None) -> list[Span]:
     """All mentions in a text, in order, none overlapping another; of two that do, the stronger kind (in the order e-mail, address, higher score) stays."""
     if not text:
         return []
-    taken: list[Span] = []
+    taken: list[Span] = []  # in order
 
     def take(spans: list[Span]) -> None:
         for s in sorted(spans, key=lambda s: (-s.score, s.start - s.end)):
-            if s.score >= THRESHOLD and all(s.end <= t.start or s.start >= t.end for t in taken):
-                taken.append(s)
+            if s.score < THRESHOLD:
+                break
+            at = bisect_left(taken, s.start, key=lambda t: t.start)
+            if (at == 0 or taken[at - 1].end <= s.start) and (at == len(taken) or taken[at].start >= s.end):
+                taken.insert(at, s)
 
     take(list(_emails(text)))
-    if any(c.isdigit() for c in text):
+    if DIGIT.search(text):
         take(list(_addresses(text)))
         take(list(_numbers(text)))
-    rest = text
+    rest, at = [], 0
     for t in taken:
-        rest = rest[: t.start] + "\0" * (t.end - t.start) + rest[t.end :]
-    take(names(rest, given, family))
-    return sorted(taken, key=lambda s: s.start)
+        rest += [text[at : t.start], "\0" * (t.end - t.start)]
+        at = t.end
+    take(names("".join([*rest, text[at:]]), kinds if kinds is not None else Kinds()))
+    return taken
 
 
 def redact(text: str | None, spans: list[Span]) -> str | None:
@@ -332,60 +358,135 @@ def redact(text: str | None, spans: list[Span]) -> str | None:
 # ---- over tables -----------------------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Lexicon:
-    """Given and family names in lower case; a family name of several words by its last."""
+#: Names that are sent to the tasks as they are (9 bytes each); a larger table is joined with the texts' words.
+BROADCAST_NAMES = 4_000_000
+TEXTS_AT_A_TIME = 512
+SALTS = 32
+SEED = 42  # fixed value: the seed of Spark's xxhash64
+SPANS = "doc_id bigint, kind string, start_char int, end_char int, score double"
+
+
+def name_table(people: DataFrame, given: str, family: str) -> DataFrame:
+    """`(h, flags)`: the 64-bit hash of every name word of a table of people; flags 1 given name, 2 family name, 3 both.
+
+    Given names count by their first word, family names by their last; single letters and nulls are no names.
+    """
+    word = lambda c, at: F.translate(F.lower(F.element_at(F.split(F.trim(F.col(f"`{c}`")), r"\s+"), at)), "’", "'")
+    both = F.array(F.struct(word(given, 1).alias("n"), F.lit(1).alias("f")), F.struct(word(family, -1).alias("n"), F.lit(2).alias("f")))
+    pairs = people.select(F.explode(both).alias("x")).where("length(x.n) > 1")
+    return pairs.groupBy(F.xxhash64("x.n").alias("h")).agg(F.bit_or("x.f").alias("flags"))
 
-    given: frozenset = frozenset()
-    family: frozenset = frozenset()
 
+def word_hash(word: str) -> int:
+    """What Spark's xxhash64 makes of a word."""
+    return xxhash.xxh64_intdigest(word.encode(), SEED)
 
-def name_lexicon(people: DataFrame, given: str, family: str, limit: int = 200_000) -> Lexicon:
-    """The distinct names of a table of people. It goes to every task, so more than `limit` of them are an error, not cut off."""
-    last = lambda c: F.lower(F.element_at(F.split(F.trim(F.col(c)), r"\s+"), -1))
-    one = F.lower(F.element_at(F.split(F.trim(F.col(given)), r"\s+"), 1))
-    pairs = people.select(F.explode(F.array(F.struct(F.lit(True).alias("g"), one.alias("n")), F.struct(F.lit(False).alias("g"), last(family).alias("n")))).alias("x")).select("x.*")
-    rows = pairs.where("n is not null and length(n) > 1").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} names; raise the limit or choose fewer people")
-    return Lexicon(frozenset(r["n"] for r in rows if r["g"]), frozenset(r["n"] for r in rows if not r["g"]))
 
+def _sorted_names(names: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    table = names.toArrow()
+    h = table["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], table["flags"].to_numpy().astype(np.int8)[order]
+
+
+def _kinds_of(texts: list[str | None], h: np.ndarray, flags: np.ndarray) -> Kinds:
+    """The classes of the words of some texts: their distinct words are looked up together by binary search."""
+    words = list({folded(w) for t in texts if t for w in TOKEN.findall(t)})
+    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
+    at = np.minimum(np.searchsorted(h, hashes), max(len(h) - 1, 0))
+    found = np.flatnonzero(h[at] == hashes) if len(h) else []
+    kinds = Kinds(set(), set())
+    for i in found:
+        if flags[at[i]] & 1:
+            kinds.given.add(words[i])
+        if flags[at[i]] & 2:
+            kinds.family.add(words[i])
+    return kinds
+
+
+def _with_broadcast(make, broadcast):
+    """Batches `(id, text)` in parts, each with the classes of its words."""
 
-def _spans(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, flags = broadcast.value
         for batch in batches:
-            ids, rows = batch.column(0), []
-            for n, value in enumerate(batch.column(1)):
-                rows += [(n, s.kind, s.start, s.end, s.score) for s in mentions(value.as_py(), lexicon.given, lexicon.family)]
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(list(columns[0]), pa.int64())), pa.array(list(columns[1]), pa.string()), pa.array(list(columns[2]), pa.int32()), pa.array(list(columns[3]), pa.int32()), pa.array(list(columns[4]), pa.float64())],
-                names=["doc_id", "kind", "start_char", "end_char", "score"],
-            )
+            for start in range(0, batch.num_rows, TEXTS_AT_A_TIME):
+                part = batch.slice(start, TEXTS_AT_A_TIME)
+                texts = part.column(1).to_pylist()
+                kinds = _kinds_of(texts, h, flags)
+                yield make(part.column(0), texts, [mentions(t, kinds) for t in texts])
 
     return run
 
 
-def find_mentions(documents: DataFrame, lexicon: Lexicon | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(doc_id, kind, start_char, end_char, score)` of each mention; nothing for null and empty texts, whole texts however long."""
-    pairs = documents.select(F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`"))
-    return pairs.mapInArrow(_spans(lexicon or Lexicon()), "doc_id bigint, kind string, start_char int, end_char int, score double")
-
+def _with_joined(make):
+    """Batches `(id, text, known)`, `known` the names among the text's words as (hash, flags)."""
 
-def _redacted(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = [], []
-            for value in batch.column(1):
-                spans = mentions(value.as_py(), lexicon.given, lexicon.family)
-                texts.append(redact(value.as_py(), spans))
-                counts.append(len(spans))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=["doc_id", "text", "n_mentions"])
+            texts, spans = batch.column(1).to_pylist(), []
+            for text, known in zip(texts, batch.column(2).to_pylist(), strict=True):
+                pairs = sorted((k["h"] & (1 << 64) - 1, k["flags"]) for k in known or [])
+                spans.append(mentions(text, _kinds_of([text], np.array([a for a, _ in pairs], np.uint64), np.array([b for _, b in pairs], np.int8))))
+            yield make(batch.column(0), texts, spans)
 
     return run
 
 
-def redact_documents(documents: DataFrame, lexicon: Lexicon | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(doc_id, text, n_mentions)`: every document, mentions replaced by typed placeholders; a null text stays null."""
-    pairs = documents.select(F.col(f"`{doc_id}`").cast("bigint"), F.col(f"`{text}`"))
-    return pairs.mapInArrow(_redacted(lexicon or Lexicon()), "doc_id bigint, text string, n_mentions int")
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k1, k2, h): each different word of each text, by hash."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS_AT_A_TIME):
+            part = batch.slice(start, TEXTS_AT_A_TIME)
+            row, h = [], []
+            for i, text in enumerate(part.column(2).to_pylist()):
+                words = {folded(w) for w in TOKEN.findall(text or "")}
+                row += [i] * len(words)
+                h += map(word_hash, words)
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.array(h, np.uint64).view(np.int64))], names=["k1", "k2", "h"])
+
+
+def _run(documents: DataFrame, names: DataFrame | None, doc_id: str, text: str, make, schema: str, most: int) -> DataFrame:
+    spark = documents.sparkSession
+    docs = documents.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    if names is None:
+        names = spark.createDataFrame([], "h bigint, flags int")
+    names = names.persist()  # small beside the texts; spills to disk
+    if names.count() <= most:
+        held = spark.sparkContext.broadcast(_sorted_names(names))
+        names.unpersist()
+        return docs.mapInArrow(_with_broadcast(make, held), schema)
+    # Equal texts have equal keys and share one answer. A word of very many texts is spread over SALTS tasks.
+    keys: list[Column] = [F.xxhash64("text").alias("k1"), F.xxhash64("text", F.lit(1)).alias("k2")]
+    words = docs.select(*keys, "text").mapInArrow(_words, "k1 bigint, k2 bigint, h bigint").withColumn("salt", F.pmod("k1", F.lit(SALTS)))
+    salted = names.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
+    known = words.join(salted, ["h", "salt"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("h", "flags")).alias("known"))
+    found = docs.select("*", *keys).join(known, ["k1", "k2"], "left").select("doc_id", "text", "known")
+    return found.mapInArrow(_with_joined(make), schema)
+
+
+def _listed(ids: pa.Array, texts: list, spans: list[list[Span]]) -> pa.RecordBatch:
+    rows = [(n, s.kind, s.start, s.end, s.score) for n, of in enumerate(spans) for s in of]
+    at, kind, start, end, score = zip(*rows, strict=True) if rows else [()] * 5
+    columns = [ids.take(pa.array(at, pa.int64())), pa.array(kind, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(score, pa.float64())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "kind", "start_char", "end_char", "score"])
+
+
+def find_mentions(documents: DataFrame, names: DataFrame | None = None, *, doc_id: str = "doc_id", text: str = "text", broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """`(doc_id, kind, start_char, end_char, score)` of each mention; nothing for null and empty texts, whole texts however long.
+
+    `names` is a `name_table`. Up to `broadcast_names` of them go to the tasks; more are joined with the words of the texts, with
+    the same result.
+    """
+    return _run(documents, names, doc_id, text, _listed, SPANS, broadcast_names)
+
+
+def _redacted(ids: pa.Array, texts: list, spans: list[list[Span]]) -> pa.RecordBatch:
+    new = [redact(t, s) for t, s in zip(texts, spans, strict=True)]
+    return pa.RecordBatch.from_arrays([ids, pa.array(new, pa.string()), pa.array([len(s) for s in spans], pa.int32())], names=["doc_id", "text", "n_mentions"])
+
+
+def redact_documents(documents: DataFrame, names: DataFrame | None = None, *, doc_id: str = "doc_id", text: str = "text", broadcast_names: int = BROADCAST_NAMES) -> DataFrame:
+    """`(doc_id, text, n_mentions)`: every document, mentions replaced by typed placeholders; a null text stays null. `names` as in `find_mentions`."""
+    return _run(documents, names, doc_id, text, _redacted, "doc_id bigint, text string, n_mentions int", broadcast_names)

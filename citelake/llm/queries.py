@@ -69,16 +69,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-def _lexicon(spark: SparkSession, d: str) -> pii.Lexicon:
-    return pii.name_lexicon(flat_table(table(spark, d, "works_pages"), "author"), "given", "family")
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    return pii.name_table(flat_table(table(spark, d, "works_pages"), "author"), "given", "family")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find_mentions(table(spark, d, "documents"), _lexicon(spark, d)).select("doc_id", "kind", "start_char")
+    return pii.find_mentions(table(spark, d, "documents"), _names(spark, d)).select("doc_id", "kind", "start_char")
 
 
 def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.redact_documents(table(spark, d, "documents"), _lexicon(spark, d))
+    return pii.redact_documents(table(spark, d, "documents"), _names(spark, d))
 
 
 QUERIES = {

@@ -328,11 +328,12 @@ def test_sizes_are_tokens(spark):
 
 # ---- personal information --------------------------------------------------------------------------------------------
 
-GIVEN, FAMILY = frozenset({"maria", "will", "jean-luc"}), frozenset({"stone", "o'darrin", "quell"})
+KINDS = pii.Kinds({"maria", "will", "jean-luc"}, {"stone", "o'darrin", "quell"})
+PEOPLE = [("Maria", "Stone"), ("Will", "O’Darrin"), ("Jean-Luc", "Quell")]
 
 
 def found(text):
-    return [(s.kind, text[s.start : s.end]) for s in pii.mentions(text, GIVEN, FAMILY)]
+    return [(s.kind, text[s.start : s.end]) for s in pii.mentions(text, KINDS)]
 
 
 @pytest.mark.parametrize(
@@ -356,7 +357,7 @@ def found(text):
     ],
 )
 def test_mentions(text, expected):
-    assert [(s.kind, text[s.start : s.end]) for s in pii.mentions(text, GIVEN, FAMILY)] == expected
+    assert [(s.kind, text[s.start : s.end]) for s in pii.mentions(text, KINDS)] == expected
 
 
 def test_checksums():
@@ -370,24 +371,41 @@ def test_checksums():
 def test_redaction_changes_nothing_else(spark):
     text = "Contact Maria Stone,\n\ton 617-555-0158; or jo@x.example  now."
     df = spark.createDataFrame([(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "plain " * 50_000, "x"), (1, text, "x")], "doc_id bigint, text string, kind string")
-    lexicon = pii.Lexicon(GIVEN, FAMILY)
-    rows = pii.redact_documents(df, lexicon).collect()
-    assert sorted((r["doc_id"], r["n_mentions"]) for r in rows) == [(1, 3), (1, 3), (2, 0), (3, 0), (4, 0)]
-    assert {r["text"] for r in rows if r["doc_id"] == 1} == {"Contact [NAME],\n\ton [PHONE]; or [EMAIL]  now."}
-    assert {r["text"] for r in rows if r["doc_id"] == 4} == {"plain " * 50_000}
-    spans = pii.find_mentions(df, lexicon).where("doc_id = 1").collect()
-    assert len(spans) == 6 and all(text[r["start_char"] : r["end_char"]] for r in spans)
-    assert pii.find_mentions(df.limit(0), lexicon).count() == 0
+    names = pii.name_table(spark.createDataFrame(PEOPLE, "given string, family string"), "given", "family")
+    for most in (1000, 0):  # sent to the tasks, joined
+        rows = pii.redact_documents(df, names, broadcast_names=most).collect()
+        assert sorted((r["doc_id"], r["n_mentions"]) for r in rows) == [(1, 3), (1, 3), (2, 0), (3, 0), (4, 0)]
+        assert {r["text"] for r in rows if r["doc_id"] == 1} == {"Contact [NAME],\n\ton [PHONE]; or [EMAIL]  now."}
+        assert {r["text"] for r in rows if r["doc_id"] == 4} == {"plain " * 50_000}
+        spans = pii.find_mentions(df, names, broadcast_names=most).where("doc_id = 1").collect()
+        assert len(spans) == 6 and all(text[r["start_char"] : r["end_char"]] for r in spans)
+        assert pii.find_mentions(df.limit(0), names, broadcast_names=most).count() == 0
+    assert pii.find_mentions(df).where("kind = 'name'").count() == 0
 
 
-def test_lexicon(spark):
-    people = spark.createDataFrame([("Anne Marie", "de la Frenne"), (None, "Quell"), ("J", None)], "given string, family string")
-    lexicon = pii.name_lexicon(people, "given", "family")
-    assert lexicon == pii.Lexicon(frozenset({"anne"}), frozenset({"frenne", "quell"}))
-    with pytest.raises(ValueError):
-        pii.name_lexicon(people, "given", "family", limit=1)
+def test_name_table(spark):
+    people = spark.createDataFrame([("Anne Marie", "de la Frenne"), (None, "Quell"), ("J", None), ("Quell", " ")], "given string, family string")
+    got = {r["h"] % (1 << 64): r["flags"] for r in pii.name_table(people, "given", "family").collect()}
+    assert got == {pii.word_hash("anne"): 1, pii.word_hash("frenne"): 2, pii.word_hash("quell"): 3}
+
+
+def test_millions_of_names(spark):
+    people = spark.range(1_500_000).select(F.concat(F.lit("Gv"), F.col("id").cast("string")).alias("given"), F.concat(F.lit("Fm"), F.col("id").cast("string")).alias("family"))
+    letters = lambda c: F.translate(c, "0123456789", "abcdefghij")
+    names = pii.name_table(people.select(letters("given").alias("given"), letters("family").alias("family")), "given", "family")
+    docs = spark.createDataFrame([(1, "It was Gvbcd Fmbcd who came."), (2, "It was Gvbcd Hill.")], "doc_id bigint, text string")
+    assert [(r["doc_id"], r["start_char"]) for r in pii.find_mentions(docs, names).collect()] == [(1, 7)]
+
+
+def test_long_text_with_many_mentions():
+    import time
+
+    text = "Write to jo@x.example or Maria Stone, 617-555-0158. " * 20_000
+    began = time.perf_counter()
+    assert len(pii.mentions(text, KINDS)) == 60_000
+    assert time.perf_counter() - began < 60
 
 
 def test_character_positions_count_code_points():
     text = "😀é Maria Stone"
-    assert [(s.start, s.end) for s in pii.mentions(text, GIVEN, FAMILY)] == [(3, 14)]
+    assert [(s.start, s.end) for s in pii.mentions(text, KINDS)] == [(3, 14)]
