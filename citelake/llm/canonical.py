@@ -1,6 +1,6 @@
 """Duplicates hidden by formatting: records that agree in a canonical key collapse into one, with their number of copies.
 
-Records are combined per spelling where they are read. Keys with very many spellings are found by an exact count of partial
+Records are combined per spelling where they are read. Keys with very many records are found by an exact count of partial
 counts; those are aggregated in two levels, salted by spelling, all others by one shuffle on the key. The representative of a
 key is the spelling of its smallest record identifier.
 """
@@ -46,14 +46,18 @@ def spellings(sources: list[Records], key_fn: Callable[[Column], Column] = doi_k
 
 
 def hot_keys(spelled: DataFrame, limit: int) -> DataFrame:
-    """`(key)` with more than `limit` spellings; of S spellings, at most S / limit keys."""
-    return spelled.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > limit).select("key")
+    """`(key)` with more than `limit` records; of N records, fewer than N / limit keys."""
+    return spelled.groupBy("key").agg(F.sum("n").alias("m")).where(F.col("m") > limit).select("key")
 
 
 def classes(spelled: DataFrame, hot_limit: int | None = None) -> DataFrame:
-    """One row per key: `(key, representative, source, identifier, n_copies, n_spellings)`; `spelled` is read several times, so store it first."""
+    """One row per key: `(key, representative, source, identifier, n_copies, n_spellings)`; `spelled` is read several times, so store it first.
+
+    A key is hot with more than `hot_limit` records; by default a quarter of what a task would get if all had alike.
+    """
     if hot_limit is None:
-        hot_limit = max(1_000, spelled.count() // (4 * shuffle_partitions(spelled.sparkSession)))
+        records = spelled.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        hot_limit = max(1, records // (4 * shuffle_partitions(spelled.sparkSession)))
     hot = F.broadcast(hot_keys(spelled, hot_limit).withColumn("hot", F.lit(True)))  # at most 4 keys a partition
     first = F.struct(F.col("source").alias("source"), F.col("identifier").isNull().alias("unknown"), F.col("identifier").alias("identifier"), F.col("spelling").alias("spelling"))
     states = spelled.join(hot, "key", "left").select("key", "hot", "spelling", F.col("n").alias("copies"), F.lit(1).cast("bigint").alias("spelled"), first.alias("first"))

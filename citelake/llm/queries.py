@@ -28,7 +28,7 @@ def p4_dois(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _frequencies(spark: SparkSession, d: str) -> DataFrame:
-    return frequency.frequencies(table(spark, d, "crossref_works_summaries"), FIELDS)
+    return frequency.frequencies(table(spark, d, "crossref_works_summaries"), FIELDS, "row_id")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

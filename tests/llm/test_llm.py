@@ -83,40 +83,35 @@ def test_containers():
     assert (frequency.unpack(frequency.union([frequency.pack(a), frequency.pack(b)])) == np.union1d(a, b)).all()
 
 
-@pytest.mark.parametrize("chunk", [1 << 16, 64])
-def test_frequencies_against_brute_force(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("spread", [1, 40_000])
+def test_frequencies_against_brute_force(spark, spread):
+    """Identifiers in one chunk or many, in any order over the tasks, some repeated, some missing."""
     rng = random.Random(1)
-    rows = [(rng.choice([None, "", "Soil Soil physics", "soil", f"One-off {i}", "été à Été", "x_y 3"]), rng.choice([None, "b"]), "z") for i in range(700)]
-    df = spark.createDataFrame(rows + rows[:5], "f string, item string, n_rows string").repartition(3)
-    if chunk == 64:
-        # The same kernel on small chunks, off Spark, for the union over chunks.
-        import pyarrow as pa
-
-        monkeypatch.setattr(frequency, "CHUNK", 64)
-        monkeypatch.setattr(frequency, "DENSE", 4)
-        batch = pa.RecordBatch.from_pydict({"f": [r[0] for r in rows]})
-        out = Counter()
-        for b in frequency._index(iter([batch])):
-            for unit, item, container in zip(b["unit"].to_pylist(), b["item"].to_pylist(), b["rows"].to_pylist(), strict=True):
-                out[unit, item] += len(frequency.unpack(container))
-        assert out == Counter(x for v, _, _ in rows if v is not None for x in {("value", v), *(("term", w) for w in re.findall(r"[^\W_]+", v.lower()))})
-        return
-    found = frequency.frequencies(df, ["f", "item"])
-    occurrences, holding = Counter(), Counter()
-    for r in rows + rows[:5]:
-        for field, v in (("f", r[0]), ("item", r[1])):
-            if v is not None:
+    value = lambda i: rng.choice([None, "", "Soil Soil physics", "soil", f"One-off {i}", "été à Été", "x_y 3"])
+    rows = [(rng.choice([None, *[i * spread] * 9]), value(i), rng.choice([None, "b"]), "z") for i in range(700)]
+    rows += [(rows[i][0], value(i), None, "z") for i in range(30)] + rows[40:45] + [(-5, "soil", None, "z")]
+    df = spark.createDataFrame(rows, "chunk bigint, f string, item string, n_rows string").repartition(3)
+    occurrences, holding = Counter(), {}
+    for i, *values, _ in rows:
+        for field, v in zip(("f", "item"), values, strict=True):
+            if v is not None and i is not None:
                 units = [("value", v), *(("term", w) for w in re.findall(r"[^\W_]+", v.lower()))]
                 occurrences.update((field, *u) for u in units)
-                holding.update({(field, *u) for u in units})
-    assert {(r["field"], r["unit"], r["item"]): (r["occurrences"], r["n_rows"]) for r in found.collect()} == {k: (n, holding[k]) for k, n in occurrences.items()}
-    assert {r["item"] for r in frequency.marked(found).where("mark = 'rare' and unit = 'value' and field = 'f'").collect()} == {v for (f, u, v), n in holding.items() if n <= 2 and u == "value" and f == "f"}
+                for u in units:
+                    holding.setdefault((field, *u), set()).add(i)
+    found = frequency.frequencies(df, ["f", "item"], "chunk")
+    assert {(r["field"], r["unit"], r["item"]): (r["occurrences"], r["n_rows"]) for r in found.collect()} == {k: (n, len(holding[k])) for k, n in occurrences.items()}
+    assert {r["item"] for r in frequency.marked(found).where("mark = 'rare' and unit = 'value' and field = 'f'").collect()} == {v for (f, u, v), n in holding.items() if len(n) <= 2 and u == "value" and f == "f"}
+    index = frequency.term_index(df, ["f", "item"], "chunk").collect()
+    assert len({(r["field"], r["unit"], r["item"], r["chunk"]) for r in index}) == len(index)
+    ids = {(r["chunk"] << 16) + int(p) for r in index if r["field"] == "f" and r["item"] == "soil" and r["unit"] == "term" for p in frequency.unpack(r["rows"])}
+    assert ids == holding["f", "term", "soil"]
 
 
 def test_frequencies_of_nothing_and_of_long_values(spark):
-    assert frequency.frequencies(spark.createDataFrame([], "f string"), ["f"]).count() == 0
-    df = spark.createDataFrame([("w " * 100_000,)], "f string")
-    assert {(r["unit"], r["occurrences"], r["n_rows"]) for r in frequency.frequencies(df, ["f"]).collect()} == {("value", 1, 1), ("term", 100_000, 1)}
+    assert frequency.frequencies(spark.createDataFrame([], "i int, f string"), ["f"], "i").count() == 0
+    df = spark.createDataFrame([(1, "w " * 100_000)], "i int, f string")
+    assert {(r["unit"], r["occurrences"], r["n_rows"]) for r in frequency.frequencies(df, ["f"], "i").collect()} == {("value", 1, 1), ("term", 100_000, 1)}
 
 
 # ---- leakage ---------------------------------------------------------------------------------------------------------
