@@ -66,3 +66,9 @@ def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)

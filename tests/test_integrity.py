@@ -131,22 +131,43 @@ def test_deliveries_against_brute_force(spark):
     assert sorted(r["row_id"] for r in delivery.superseded(df.where("doi is not null"), store.read(), "row_id").collect()) == expected
 
 
-def test_only_touched_partitions_are_written_again(spark):
+def test_only_beaten_partitions_are_written_again(spark):
     path = scratch_path(spark, "store")
     make = lambda: delivery.DeliveryStore(spark, path, identifier="doi", order=["t", "row_id"], columns=[])
     store = make()
     store.merge(messages(spark, [("a", 1, 5, 1), ("b", 2, 5, 1)]), "1")
     store.merge(messages(spark, [("c", 3, 5, 2)]), "2")
-    before = dict(store.manifest["slots"])
-    store.merge(messages(spark, [("c", 4, 1, 3), ("d", 5, 1, 3)]), "3")
-    changed = {s for s in before if store.manifest["slots"][s] != before[s]}
-    assert changed == set(map(int, store.manifest["touched"])) and len(changed) == 1 and len(store.manifest["slots"]) == 3
+    before = {int(s): f for s, f in store.manifest["files"].items()}
+    store.merge(messages(spark, [("a", 9, 6, 3), ("c", 4, 1, 3), ("d", 5, 1, 3)]), "3")
+    after = {int(s): f for s, f in store.manifest["files"].items()}
+    # Only c's partition is written again: the later copy of a changes nothing, d is added beside.
+    assert len(store.manifest["touched"]) == 1 and all(after[s][: len(f)] == f for s, f in before.items() if s not in store.manifest["touched"])
     expected = {"a": 1, "b": 2, "c": 4, "d": 5}
     assert {r["doi"]: r["row_id"] for r in store.read().collect()} == expected
     store.merge(messages(spark, [("a", 0, 0, 3)]), "3")  # a batch taken in before
     again = make()
-    again.schema = store.schema
+    again.merge(messages(spark, [("a", 0, 0, 3)]), "2")
     assert {r["doi"]: r["row_id"] for r in again.read().collect()} == expected
+    with pytest.raises(ValueError):
+        delivery.DeliveryStore(spark, path, identifier="doi", order=["t"], columns=["w"])
+
+
+def test_a_growing_store_is_rearranged_and_cleaned(spark):
+    path = scratch_path(spark, "store")
+    store = delivery.DeliveryStore(spark, path, identifier="doi", order=["t", "row_id"], columns=["w"], rows_per_partition=4)
+    for batch in range(4):
+        store.merge(messages(spark, [(f"d{i}", i, 9 - batch, batch) for i in range(batch, 60 + 60 * batch)]), str(batch))
+    assert store.manifest["slots"] > delivery.LEAST_SLOTS and store.manifest["rows"] == 240
+    expected = {r["doi"]: (r["row_id"], r["t"]) for r in store.read().collect()}
+    assert len(expected) == 240 and expected["d2"][1] == at(7) and expected["d100"][1] == at(6)
+    assert store.vacuum() > 0 and store.vacuum() == 0
+    again = delivery.DeliveryStore(spark, path, identifier="doi", order=["t", "row_id"], columns=["w"])
+    assert {r["doi"]: (r["row_id"], r["t"]) for r in again.read().collect()} == expected
+
+
+def test_merges_double():
+    assert delivery.merges([1] * 9) == [[0], [1], [2, 3], [4, 5, 6, 7], [8]]
+    assert delivery.merges([100, 1, 1]) == [[0], [1, 2]] and delivery.merges([]) == [] and delivery.merges([0, 0, 5]) == [[0], [1], [2]]
 
 
 def test_a_lost_race_leaves_the_store_as_it_was(spark):
