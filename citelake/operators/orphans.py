@@ -1,9 +1,10 @@
 """References to records that do not exist.
 
-Keys are hashed to 64 bits and the hash space is cut into contiguous ranges of about equal numbers of references, from an
-exact histogram of a fixed number of hash buckets. Each range's parents become one sorted array; reference batches of the
-range are probed by binary search, and the key itself is compared at the place found, so hash collisions change nothing. A
-bucket heavier than a range (a hot key) is spread over several tasks, each with that one bucket's parents.
+Keys are hashed to 64 bits and the hash space is cut into equal ranges, so many that each has a bounded number of references
+and of parents; hashes are even, so the only keys that can crowd a range are single ones with very many references. Those hot
+keys are found by exact counts, first of narrow hash buckets, then of the keys in buckets that are too full. A range's parents
+become one sorted array; reference batches of the range are probed by binary search, and the key itself is compared at the place
+found, so hash collisions change nothing. References of a hot key are spread over as many ranges as they fill, each with a copy of that one parent.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citelake.functions.keys import doi_key, present
-from citelake.session import shuffle_partitions
+from citelake.session import materialise, shuffle_partitions
 
 NEVER, ALWAYS = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 ROWS_PER_RANGE = 500_000
@@ -34,23 +35,33 @@ class Keys:
     time: str | None = None
 
 
-def plan_ranges(counts: dict[int, int], buckets: int, ranges: int) -> list[tuple[int, int, int]]:
-    """(bucket, first range, number of ranges) for every bucket: light neighbours share a range, a heavy bucket has several."""
-    target = max(1, -(-sum(counts.values()) // ranges))
-    out, current, filled = [], 0, 0
-    for b in range(buckets):
-        n = counts.get(b, 0)
-        if n > target:
-            current += filled > 0
-            splits = -(-n // target)
-            out.append((b, current, splits))
-            current, filled = current + splits, 0
-        else:
-            if filled and filled + n > target:
-                current, filled = current + 1, 0
-            out.append((b, current, 1))
-            filled += n
-    return out
+def range_bits(rows: int, least: int) -> int:
+    """Bits of the hash that number the ranges: at least `least` ranges, and at most `ROWS_PER_RANGE` rows a range on average."""
+    return max(least - 1, -(-rows // ROWS_PER_RANGE) - 1, 0).bit_length()
+
+
+def range_of(h: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(h, 64 - bits).cast("int") if bits else F.lit(0)
+
+
+def hot_hashes(refs: DataFrame, bits: int, limit: int) -> DataFrame:
+    """`(h, splits)` of the keys with more than `limit` references: exact, and fewer than references / limit rows.
+
+    A bucket (a sixteenth of a range) with no more than `limit` references has no such key; keys are counted in the others only.
+    """
+    bucket = range_of(F.col("h"), bits + 4)
+    full = refs.groupBy(bucket.alias("full")).agg(F.count("*").alias("n")).where(F.col("n") > limit).select("full")
+    some = refs.select("h", bucket.alias("bucket")).join(F.broadcast(full), F.col("bucket") == F.col("full"))
+    counted = some.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    return counted.select("h", F.ceil(F.col("n") / limit).cast("int").alias("splits"))
+
+
+def placed(rows: DataFrame, hot: DataFrame, bits: int, is_reference: bool) -> DataFrame:
+    """`rows` with the range they go to (`pid`): home by hash; a hot key's references to any of its ranges, its parent to each of them."""
+    splits = F.least(F.coalesce("splits", F.lit(1)), F.lit(1 << bits))
+    step = F.pmod(F.xxhash64("id", "t", "field"), splits).cast("int") if is_reference else F.explode(F.sequence(F.lit(0), splits - 1))
+    rows = rows.join(F.broadcast(hot), "h", "left").select("*", step.alias("step"))
+    return rows.withColumn("pid", F.pmod(range_of(F.col("h"), bits) + F.col("step"), F.lit(1 << bits)))
 
 
 class _Parents:
@@ -60,6 +71,7 @@ class _Parents:
         table = pa.Table.from_batches(batches) if batches else None
         self.n = table.num_rows if table else 0
         if self.n:
+            table = table.take(pa.array(np.argsort(table["h"].to_numpy(), kind="stable")))
             self.h = table["h"].to_numpy()
             self.key = table["key"].combine_chunks()
             self.seen = _micros(table["t"], NEVER)
@@ -91,7 +103,7 @@ def _micros(column, null: int) -> np.ndarray:
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches come sorted by (kind, h): the parents of the range, then its references."""
+    """Batches come sorted by kind: the parents of the range, then its references."""
     waiting: list[pa.RecordBatch] = []
     parents = None
     for batch in batches:
@@ -125,7 +137,7 @@ def find_orphans(
     withdrawn: list[Keys] = (),
     key_fn=doi_key,
     ranges: int | None = None,
-    buckets: int | None = None,
+    hot_limit: int | None = None,
 ) -> DataFrame:
     """Orphan references: `(id, field, key, t, reason)`, one row for each row and key column that is an orphan.
 
@@ -134,6 +146,9 @@ def find_orphans(
     its table has no time at all (`Keys.time` None: known from the start). A reference without a time is later than nothing:
     only parents known from the start save it, and no withdrawal touches it. Repeated reference rows come out as often as
     they are there. Empty tables are allowed everywhere. Other columns, whatever their names, are ignored.
+
+    `ranges` is rounded up to a power of two; by default it follows from the sizes of the tables. A key with more than `hot_limit`
+    references (by default half a range) is hot. The tables are read more than once, so store them first if they are costly.
     """
     spark = references.sparkSession
     ntz, none = T.TimestampNTZType(), F.lit(None)
@@ -160,27 +175,18 @@ def find_orphans(
     known = known.groupBy("key").agg(F.min("t").alias("t"), F.max("always").alias("always"), F.min("gone").alias("gone"))
     known = known.withColumn("h", F.xxhash64("key"))
 
-    shuffles = shuffle_partitions(spark)
-    bits = (buckets or max(4096, 4 * (ranges or shuffles))).bit_length() - 1
-    bucket = F.shiftrightunsigned("h", 64 - bits).cast("int")
-    counts = {r["b"]: r["n"] for r in refs.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()}  # at most 2^bits rows
-    ranges = ranges or max(shuffles, -(-sum(counts.values()) // ROWS_PER_RANGE))
-    planned = plan_ranges(counts, 1 << bits, ranges)
-    tasks = max(first + n for _, first, n in planned)
-    lookup = F.broadcast(spark.createDataFrame(planned, "bucket int, first int, splits int"))  # 2^bits rows
-
-    refs = refs.withColumn("bucket", bucket).join(lookup, "bucket")
-    refs = refs.select(
-        (F.col("first") + F.pmod(F.xxhash64("id", "t", "field"), F.col("splits")).cast("int")).alias("pid"),
-        F.lit(1).cast("tinyint").alias("kind"), "h", "key", "t", F.lit(False).alias("always"), none.cast(ntz).alias("gone"), "field", "id",
-    )
-    known = known.withColumn("bucket", bucket).join(lookup, "bucket")
-    known = known.select(
-        F.explode(F.sequence("first", F.col("first") + F.col("splits") - 1)).alias("pid"),
-        F.lit(0).cast("tinyint").alias("kind"), "h", "key", "t", "always", "gone",
+    # Counting rows of a parquet table reads its footers only.
+    sizes = [references.count() * len(key_cols), sum(k.df.count() for k in [*parents, *withdrawn])]
+    bits = range_bits(max(sizes), ranges or shuffle_partitions(spark))
+    tasks = 1 << bits
+    hot_limit = hot_limit or max(1_000, sizes[0] // (2 * tasks))
+    hot = materialise(hot_hashes(refs, bits, hot_limit), "hot")  # fewer than 2 rows a range
+    refs = placed(refs, hot, bits, True).select("pid", F.lit(1).cast("tinyint").alias("kind"), "h", "key", "t", F.lit(False).alias("always"), none.cast(ntz).alias("gone"), "field", "id")
+    known = placed(known, hot, bits, False).select(
+        "pid", F.lit(0).cast("tinyint").alias("kind"), "h", "key", "t", "always", "gone",
         none.cast("string").alias("field"), none.cast(references.schema[id_col].dataType).alias("id"),
     )
-    both = known.unionByName(refs).repartitionById(tasks, F.col("pid")).sortWithinPartitions("kind", "h").drop("pid")
+    both = known.unionByName(refs).repartitionById(tasks, F.col("pid")).sortWithinPartitions("kind").drop("pid")
     schema = T.StructType(
         [
             T.StructField("id", references.schema[id_col].dataType),

@@ -57,8 +57,8 @@ def spelled(rng, k):
     return rng.choice([k, k.upper(), f" {k}", f"{k[:2]}-{k[2:]}"])
 
 
-@pytest.mark.parametrize("ranges, buckets", [(None, None), (7, 64)])
-def test_orphans_against_brute_force(spark, ranges, buckets):
+@pytest.mark.parametrize("ranges, hot_limit", [(None, None), (7, 30), (1, 5)])
+def test_orphans_against_brute_force(spark, ranges, hot_limit):
     rng = random.Random(5)
     pool = [f"10.1/k{i}" for i in range(60)]
     time = lambda: rng.choice([None, *range(50)])
@@ -68,7 +68,7 @@ def test_orphans_against_brute_force(spark, ranges, buckets):
     seen = [(rng.choice([None, spelled(rng, rng.choice(pool))]), time()) for _ in range(80)] + [("10.1/hot", 25)] * 3
     reg = [None, "", *rng.sample(pool, 5)]
     gone = [(spelled(rng, rng.choice(pool)), time()) for _ in range(8)] + [(None, 3)]
-    assert orphans_of(spark, refs, seen, reg, gone, ranges=ranges, buckets=buckets) == brute_orphans(refs, seen, reg, gone)
+    assert orphans_of(spark, refs, seen, reg, gone, ranges=ranges, hot_limit=hot_limit) == brute_orphans(refs, seen, reg, gone)
 
 
 def test_orphans_of_empty_tables(spark):
@@ -84,12 +84,20 @@ def test_equal_hashes_of_different_keys():
     assert seen.tolist() == [3, 2, orphans.NEVER, orphans.NEVER, orphans.NEVER] and gone[1] == 7
 
 
-def test_ranges_are_even_and_heavy_buckets_split():
-    planned = orphans.plan_ranges({0: 10, 1: 10, 2: 500, 3: 10, 5: 10}, 8, 10)
-    splits = {b: n for b, _, n in planned}
-    assert splits[2] == 10 and splits[0] == 1
-    ids = [i for b, first, n in planned if b == 2 for i in range(first, first + n)]
-    assert not set(ids) & {first for b, first, _ in planned if b != 2}
+def test_no_parent_is_copied_unless_its_key_is_hot(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key")).withColumn("h", F.xxhash64("key"))
+    rows = keys.unionByName(keys.where("key = 'k7'").withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("x"))
+    refs = rows.select("*", F.monotonically_increasing_id().alias("id"), F.lit(None).cast("timestamp_ntz").alias("t"), F.lit("a").alias("field"))
+    hot = orphans.hot_hashes(refs, 6, 500).cache()
+    assert [(r["h"], r["splits"]) for r in hot.collect()] == [(keys.where("key = 'k7'").first()["h"], 7)]
+    copies = {r["key"]: r["count"] for r in orphans.placed(keys, hot, 6, False).groupBy("key").count().collect()}
+    assert len(copies) == 20_000 and copies.pop("k7") == 7 and set(copies.values()) == {1}
+    sizes = [r["count"] for r in orphans.placed(refs, hot, 6, True).groupBy("pid").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 23_000 / 64 + 500
+    # At a million ranges: a key is in one range, and ranges are even.
+    far = orphans.placed(keys, hot.limit(0), 20, False)
+    assert far.count() == 20_000 and far.groupBy("pid").count().agg(F.max("count")).first()[0] <= 4
+    assert orphans.range_bits(10**12, 8) == 21 and orphans.range_bits(0, 1) == 0 and orphans.range_bits(10, 8) == 3
 
 
 def test_report(spark):
@@ -308,13 +316,13 @@ def test_profile_of_nothing(spark):
 # ---- tree aggregation ------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("partitions, fan_in", [(1, 2), (13, 2), (13, 3), (5, 8)])
-def test_tree_against_group_by(spark, partitions, fan_in):
+@pytest.mark.parametrize("partitions, fan_in, chunk_rows", [(1, 2, 7), (13, 2, 3), (13, 3, 100), (5, 8, 1)])
+def test_tree_against_group_by(spark, partitions, fan_in, chunk_rows):
     rng = random.Random(4)
     rows = [(rng.choice([None, "hot", "hot", f"k{rng.randrange(9)}"]), rng.choice([None, *range(5)]), "x") for _ in range(500)]
     df = spark.createDataFrame(rows, "k string, v int, n string").repartition(partitions)
     states = {"n": tree.counting(), "filled": tree.counting(F.col("v")), "total": tree.summing(F.col("v")), "low": tree.lowest(F.col("v")), "high": tree.highest(F.col("v"))}
-    got = {tuple(r) for r in tree.tree_aggregate(df, {"k": F.col("k")}, states, fan_in).collect()}
+    got = {tuple(r) for r in tree.tree_aggregate(df, {"k": F.col("k")}, states, fan_in, chunk_rows).collect()}
     want = df.groupBy("k").agg(F.count("*"), F.count("v"), F.sum("v"), F.min("v"), F.max("v")).collect()
     assert got == {tuple(r) for r in want}
 
