@@ -32,6 +32,34 @@ def list_or_scalar(variant: Column, path: str) -> Column:
     return F.coalesce(joined, F.try_variant_get(variant, path, "string"))
 
 
+def elements(variant: Column, path: str, text_is_json: bool = False) -> Column:
+    """The elements at a VARIANT's path as an array: of a list, of one value in its place, or, with `text_is_json`, of what JSON text holds.
+
+    NULL for a missing or null value, an empty text and a text that is no JSON where it should be.
+    """
+    raw = F.try_variant_get(variant, path, "variant")
+    if text_is_json:
+        raw = F.when(F.schema_of_variant(raw) == "STRING", F.try_parse_json(F.try_variant_get(variant, path, "string"))).otherwise(raw)
+
+    def of(v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        empty = (kind == "VOID") | ((kind == "STRING") & (F.try_variant_get(v, "$", "string") == ""))
+        return F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(~empty, F.array(v))
+
+    # A one-element transform binds the value, so it is parsed once.
+    return F.get(F.transform(F.array(raw), of), F.lit(0))
+
+
+def plain_text(variant: Column) -> Column:
+    """A scalar VARIANT as text, NULL for lists and objects."""
+    return F.when(~F.schema_of_variant(variant).rlike("^(ARRAY|OBJECT)"), F.try_variant_get(variant, "$", "string"))
+
+
+def utc_now() -> Column:
+    """The present time in UTC as ISO text, the same for all rows of a query."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def first_or_null(c: Column) -> Column:
     return F.get(c, F.lit(0))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citelake.functions.text import equal_ignoring_case
+from citelake.functions.text import equal_ignoring_case, number_or_null
 
 FLAG = "doi_corrected_equal_case_insensitve"  # fixed value: the column's name in published files
 
@@ -27,12 +27,9 @@ def unmatched(cleaned: DataFrame) -> DataFrame:
 
 
 def cleaning_report(cleaned: DataFrame) -> DataFrame:
-    """One row: DOIs in all, valid, invalid, corrected, corrected in more than case."""
-    given = F.coalesce("original_cited_doi", F.lit("")) != ""
-    return with_case_flag(cleaned).agg(
-        F.count_if(given).alias("n_dois"),
-        F.count_if(given & (F.col("cited_doi_valid") == "true")).alias("n_valid"),
-        F.count_if(given & (F.col("cited_doi_valid") == "false")).alias("n_invalid"),
-        F.count_if(F.col(FLAG).isNotNull()).alias("n_corrected"),
-        F.count_if(F.col(FLAG) == 0).alias("n_corrected_excluding_case"),
+    """One row: links in all, valid, all others, corrected, corrected in more than case; a flag counts where it reads as a number other than 0."""
+    yes = lambda c: F.coalesce(number_or_null(F.col(c).cast("string")) != 0, F.lit(False))
+    flagged = with_case_flag(cleaned).agg(
+        F.count("*").alias("n_dois"), F.count_if(yes("cited_doi_valid")).alias("n_valid"), F.count_if(yes("cited_doi_corrected")).alias("n_corrected"), F.count_if(yes(FLAG)).alias("_case")
     )
+    return flagged.select("n_dois", "n_valid", (F.col("n_dois") - F.col("n_valid")).alias("n_invalid"), "n_corrected", (F.col("n_corrected") - F.col("_case")).alias("n_corrected_excluding_case"))

@@ -53,26 +53,33 @@ def sort_window(rows: Iterable, size: int, key: Callable[[object], object] = lam
     return uniq_window(out, size, key, dropped) if unique else out
 
 
-def windowed(df: DataFrame, *, order: str, key: str, size: int, sort: bool = True, unique: bool = False) -> DataFrame:
+def windowed(df: DataFrame, *, order: str, key: str, size: int, sort: bool = True, unique: bool = False, with_dropped: bool = False) -> DataFrame:
     """Exactly what a bounded window makes of the rows in the order of column `order`, with the place in `_place`.
 
-    Inherently serial: all rows pass one task, in bounded memory. `sorted_by` and `deduplicated` are the scalable forms.
+    `with_dropped` adds the rows that a uniqueness window dropped, with no place. Inherently serial: all rows pass one task, in
+    bounded memory. `sorted_by` and `deduplicated` are the scalable forms.
     """
     columns = df.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (row for frame in frames for row in frame.itertuples(index=False, name=None))
-        at = columns.index(key)
-        out = sort_window(rows, size, lambda r: r[at], unique) if sort else uniq_window(rows, size, lambda r: r[at])
+        at, gone = columns.index(key), []
+        dropped = gone.append if with_dropped else None
+        pick = lambda r: r[at]
+        out = sort_window(rows, size, pick, unique, dropped) if sort else uniq_window(rows, size, pick, dropped)
         buffer, place = [], 0
         for row in out:
             buffer.append((*row, place))
             place += 1
-            if len(buffer) == 10_000:
-                yield pd.DataFrame(buffer, columns=[*columns, "_place"])
+            if len(buffer) + len(gone) >= 10_000:
+                yield frame_of(buffer, gone)
                 buffer = []
-        if buffer:
-            yield pd.DataFrame(buffer, columns=[*columns, "_place"])
+        yield frame_of(buffer, gone)
+
+    def frame_of(kept: list, gone: list) -> pd.DataFrame:
+        frame = pd.DataFrame([*kept, *((*row, None) for row in gone)], columns=[*columns, "_place"])
+        gone.clear()
+        return frame.astype({"_place": "Int64"})
 
     schema = T.StructType([*df.schema.fields, T.StructField("_place", T.LongType())])
     return df.orderBy(order).coalesce(1).mapInPandas(run, schema)

@@ -80,6 +80,17 @@ def profile(df: DataFrame, by: list[str] | None = None, na_tokens: list[str] | N
     return rows.groupBy(*by, "stat").pivot("column_name", names).agg(F.first("cell")).orderBy(*by, "stat")
 
 
+def from_matrix(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The numbers of a long profile from its matrix as it was written (all text): rows of `type` are dropped, cells that are no numbers become NULL."""
+    by = by or []
+    names = [c for c in rows.columns if c not in (*by, "stat")]
+    keys = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in by]
+    long = rows.where("stat <> 'type'").select(*keys, "stat", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("cell")) for c in names])))
+    numbers = [s for s in STATISTICS if s != "type"]
+    value = {s: F.max(F.when(F.col("stat") == s, number_or_null(F.col("cell")))) for s in numbers}
+    return long.groupBy(*by, "column_name").agg(*[(v.cast("bigint") if s.startswith("count") else v).alias(s) for s, v in value.items()])
+
+
 def merge_profiles(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The long profile of two tables together, from their long profiles; `value_type` stays numeric only where both are."""
     by = by or []

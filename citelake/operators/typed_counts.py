@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from citelake.functions.text import populated_keys, year_of
@@ -34,13 +35,18 @@ def reference_keys(works: DataFrame, references: Column) -> DataFrame:
     return each.select(example.alias("example"), F.inline(pairs)).select("type", "key", "example")
 
 
+def key_counts(keyed: DataFrame) -> DataFrame:
+    """`(type, key, count)`, without examples: one combined aggregation."""
+    return keyed.groupBy("type", "key").agg(F.count("*").alias("count"))
+
+
 def typed_counts(keyed: DataFrame, limit: int = 10) -> DataFrame:
     """`(type, key, count, examples)`, `examples` the `limit` smallest examples in order; a NULL key is a key.
 
     Counts and examples are two branches: counts combine before the shuffle, and the rank filter keeps at most `limit`
     rows of a key per task before it.
     """
-    counts = keyed.groupBy("type", "key").agg(F.count("*").alias("count"))
+    counts = key_counts(keyed)
     ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("type", "key").orderBy("example"))).where(F.col("_rank") <= limit)
     examples = ranked.groupBy("type", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "example"))), lambda x: x["example"]).alias("examples"))
     match = (F.col("c.type") == F.col("e.type")) & F.col("c.key").eqNullSafe(F.col("e.key"))
@@ -50,3 +56,26 @@ def typed_counts(keyed: DataFrame, limit: int = 10) -> DataFrame:
 def in_order(counts: DataFrame) -> DataFrame:
     """By type, most frequent first, ties by key."""
     return counts.orderBy("type", F.col("count").desc(), "key")
+
+
+def to_file(counts: DataFrame) -> DataFrame:
+    """Typed counts as they are written: examples as a JSON list of texts, or of pairs of DOI and reference."""
+    if isinstance(counts.schema["examples"].dataType.elementType, T.StructType):
+        # An array of one text is that text as JSON between brackets.
+        quoted = lambda c: F.coalesce(F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1), F.lit("null"))
+        pairs = F.transform("examples", lambda e: F.concat(F.lit("["), quoted(e["doi"]), F.lit(", "), e["reference"], F.lit("]")))
+        return counts.withColumn("examples", F.concat(F.lit("["), F.array_join(pairs, ", "), F.lit("]")))
+    return counts.withColumn("examples", F.to_json("examples", {"ignoreNullFields": "false"}))
+
+
+def from_file(rows: DataFrame) -> DataFrame:
+    """Typed counts as they were written (all text): `(type, key, count, examples, without_source)`, most frequent first.
+
+    `without_source` has the second element of every example: the reference of a pair; of a text, as when a text is indexed, its
+    second character. An empty key stands for NULL and for ''.
+    """
+    parsed = F.try_variant_get(F.try_parse_json("examples"), "$", "array<variant>")
+    text = lambda e: F.try_variant_get(e, "$", "string")
+    second = F.transform(parsed, lambda e: F.when(F.schema_of_variant(e) == "STRING", F.substring(text(e), 2, 1)).otherwise(F.to_json(F.try_variant_get(e, "$[1]", "variant"))))
+    out = rows.select("type", F.coalesce("key", F.lit("")).alias("key"), F.col("count").cast("bigint").alias("count"), "examples", second.alias("without_source"))
+    return out.orderBy(F.col("count").desc(), "type", "key")

@@ -97,9 +97,11 @@ def closed_share(summaries: DataFrame, column: str) -> DataFrame:
     return summaries.where(F.col(column).isNotNull()).groupBy(column).agg(F.count_if(closed()).alias("n_closed"), F.count("*").alias("n_works")).where("n_closed > 0").withColumn("ratio", F.col("n_closed") / F.col("n_works"))
 
 
-def closed_share_joined(typed: DataFrame, name: str, least: int = 0, how: str = "inner") -> DataFrame:
-    """The same from typed counts: closed counts over `least`, joined with totals by key."""
+def closed_share_joined(typed: DataFrame, name: str, least: int = 0, how: str = "inner", most: int | None = None) -> DataFrame:
+    """The same from typed counts: closed counts over `least`, the `most` largest of them, joined with totals by key."""
     shut = typed.where((F.col("type") == f"non_oa_ref_{name}") & (F.col("count") > least)).select("key", F.col("count").alias("n_closed"))
+    if most is not None:
+        shut = top(shut, "n_closed", most, "key")
     total = typed.where(F.col("type") == f"total_{name}").select("key", F.col("count").alias("n_works"))
     joined = shut.join(total.withColumnRenamed("key", "_key"), F.col("key").eqNullSafe(F.col("_key")), how).drop("_key")
     return joined.withColumn("ratio", F.col("n_closed") / F.col("n_works"))
@@ -107,7 +109,7 @@ def closed_share_joined(typed: DataFrame, name: str, least: int = 0, how: str =
 
 def sentences(counts: DataFrame, label: str) -> DataFrame:
     """A sentence per group that claims references."""
-    text = F.format_string("Out of the %,d works of %s %s with references, %.2f%% are open (%,d).", F.col("has_references_claimed"), F.lit(label), F.col(label), F.col("p_open"), F.col("has_references_open"))
+    text = F.format_string("%s: %,d works say they cite others; the references of %,d can be read, %.2f%% of them.", F.col(label), F.col("has_references_claimed"), F.col("has_references_open"), F.col("p_open"))
     return counts.where("has_references_claimed > 0").select(label, text.alias("sentence"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,11 @@ from citelake.functions import text
 from citelake.operators import citations, doi_quality, ordered, profile, summaries, typed_counts
 from citelake.operators.refs import references_without_doi
 from citelake.plans import analytics as a
+from citelake.plans import integrity
 from citelake.plans.tables import table
 from citelake.plans.works import broken_pages, orders_as_works, pages_to_works
+from citelake.session import scratch_path
+from citelake.sources import delimited
 
 KEPT_TYPE, MERGED, MERGED_LABEL = "journal-article", "press", "Press (all)"
 
@@ -53,12 +58,22 @@ def citation_arrays(s, d):
     return citations.citation_arrays(_works(s, d)).withColumn("cited_dois", F.array_join("cited_dois", "|"))
 
 
+def _page_works(s, d):
+    return pages_to_works(table(s, d, "works_pages"), quarantine=True)
+
+
 def pages_summary(s, d):
-    return summaries.summarise(pages_to_works(table(s, d, "works_pages"), quarantine=True), provenance=True, debug=True)
+    return summaries.summarise(_page_works(s, d), provenance=True)
+
+
+def pages_debug(s, d):
+    debug = F.col("debug")
+    rows = summaries.summarise(_page_works(s, d), provenance=True, debug=True)
+    return rows.select("provenance", "doi", F.json_array_length(debug).alias("n_without_doi"), F.get_json_object(debug, "$[0].key").alias("first_key"))
 
 
 def pages_links(s, d):
-    return citations.citation_links(pages_to_works(table(s, d, "works_pages"), quarantine=True), empty_link=True, provenance=True)
+    return citations.citation_links(_page_works(s, d), empty_link=True, provenance=True)
 
 
 def pages_broken(s, d):
@@ -108,7 +123,18 @@ def profile_matrix(s, d):
 
 
 def _typed(s, d):
-    return typed_counts.typed_counts(typed_counts.summary_keys(_summaries(s, d).where("doi is not null")))
+    return typed_counts.typed_counts(typed_counts.summary_keys(_summaries(s, d)))
+
+
+def _typed_keys(s, d):
+    return typed_counts.key_counts(typed_counts.summary_keys(_summaries(s, d)))
+
+
+def _stored(s, df, name):
+    """A table written as a delimited file and read back."""
+    path = scratch_path(s, "file") + f"/{name}"
+    delimited.write_delimited_dir(df, path)
+    return delimited.read_delimited(s, path, multi_line=False)
 
 
 def typed_total(s, d):
@@ -209,7 +235,7 @@ def closed_by_publisher(s, d):
 
 
 def closed_by_publisher_joined(s, d):
-    return a.closed_share_joined(_typed(s, d), "publisher", how="left")
+    return a.closed_share_joined(_typed_keys(s, d), "publisher", how="left")
 
 
 def closed_ratio_topk(s, d):
@@ -246,8 +272,24 @@ def refs_by_type_merged_publisher(s, d):
 
 
 def references_by_year(s, d):
-    refs = _works(s, d).select(F.explode("references").alias("r")).groupBy(F.col("r")["year"].alias("year")).agg(F.count("*").alias("n"))
-    return refs.where("n > 100").orderBy(F.col("year").desc()).limit(150)
+    bare = typed_counts.reference_keys(_works(s, d), references_without_doi(F.col("references"))).where("type = 'year'")
+    years = typed_counts.key_counts(bare).select(F.col("key").alias("year"), F.col("count").alias("n"))
+    return years.where("n > 100").orderBy(F.col("year").desc()).limit(150)
+
+
+def closed_top_ratio(s, d):
+    return a.closed_share_joined(_typed_keys(s, d), "countainer_title", how="inner", most=10)
+
+
+def typed_from_file(s, d):
+    rows = typed_counts.typed_counts(typed_counts.reference_keys(_works(s, d).withColumn("doi", text.clean_doi(F.col("doi"))), references_without_doi(F.col("references"))))
+    back = typed_counts.from_file(_stored(s, typed_counts.to_file(rows), "typed.tsv"))
+    return back.select("type", "key", "count", F.transform("without_source", lambda e: F.get_json_object(e, "$.key")).getItem(0).alias("first_key"))
+
+
+def profile_from_file(s, d):
+    matrix = profile.profile(_summaries(s, d).select("type", "publisher", "doi", "reference_count", "num_references"), ["type", "publisher"])
+    return a.counts_from_profile(profile.from_matrix(_stored(s, matrix, "profile.tsv"), ["type", "publisher"]), ["type", "publisher"])
 
 
 def grouped_equals_ungrouped(s, d):
@@ -258,12 +300,13 @@ def formatted_counts(s, d):
     return a.work_counts(_summaries(s, d), ["type"]).select("type", text.format_count(F.col("work_count")).alias("works"), text.format_percent(F.col("p_open")).alias("open"))
 
 
-_NAMES = """works_summary citation_links citation_links_empty citation_arrays pages_summary pages_links pages_broken page_cursors clean_text_documents
+_NAMES = """works_summary citation_links citation_links_empty citation_arrays pages_summary pages_debug pages_links pages_broken page_cursors clean_text_documents
 clean_doi_citations profile_summaries profile_summaries_by_type profile_lineitem profile_bool_literals profile_matrix typed_total typed_reference_keys doi_ids
 sort_unique in_batches sort_window_exact uniq_window_exact doi_case_equal doi_corrected_differs doi_unmatched doi_cleaning_report open_pct_overall
 open_references_overall open_pct_by_type open_pct_by_type_publisher counts_from_profile work_totals open_sentences journal_vs_other top_publishers_semi
 merged_publishers merged_names closed_by_publisher closed_by_publisher_joined closed_ratio_topk closed_by_container closed_by_subject closed_by_year refs_by_type
-refs_by_publisher refs_by_merged_publisher refs_by_type_merged_publisher references_by_year grouped_equals_ungrouped formatted_counts"""
+refs_by_publisher refs_by_merged_publisher refs_by_type_merged_publisher references_by_year grouped_equals_ungrouped formatted_counts
+closed_top_ratio typed_from_file profile_from_file"""
 QUERIES = {name: globals()[name] for name in _NAMES.split()}
 
 # ---- SQL -------------------------------------------------------------------------------------------------------------
@@ -328,6 +371,17 @@ def _profile_sql(source: str, columns: dict[str, str | None], by: dict[str, str]
     return " UNION ALL ".join(parts)
 
 
+def _matrix_sql(source: str, columns: dict[str, str | None]) -> str:
+    """The long profile with a row per statistic and a text cell per column, numbers unrounded."""
+    long = re.sub(r"round\((.*?), 4\)", r"(\1)", _profile_sql(source, columns))
+    whole, real = [s for s in profile.STATISTICS if s.startswith("count")], ("max", "mean", "mean_non_zero", "min", "sum")
+    cells = [f"SELECT column_name, '{s}' AS stat, {s}::VARCHAR AS cell FROM p" for s in whole]
+    cells += [f"SELECT column_name, '{s}', CASE WHEN {s} = floor({s}) THEN {s}::BIGINT::VARCHAR ELSE {s}::DOUBLE::VARCHAR END FROM p" for s in real]
+    cells.append("SELECT column_name, 'type', value_type FROM p")
+    picked = ", ".join(f"max(cell) FILTER (WHERE column_name = '{c}') AS {c}" for c in columns)
+    return f"WITH p AS ({long}), cells AS ({' UNION ALL '.join(cells)}) SELECT stat, {picked} FROM cells WHERE cell IS NOT NULL GROUP BY stat"
+
+
 _FLAGS = """(SELECT CASE l_returnflag WHEN 'R' THEN 'True' WHEN 'A' THEN 'false' ELSE '1' END AS flag,
   CASE WHEN l_linenumber = 1 THEN 'x1' ELSE l_linenumber::VARCHAR END AS mixed FROM lineitem)"""
 _CLEANED = """WITH cleaned AS (
@@ -341,12 +395,65 @@ flagged AS (
 _STRIP = f"translate(trim(cited_doi, '{text.PYTHON_WHITESPACE}'), E'\\n\\t\"', '')"
 _TYPED = """pairs AS (
   SELECT doi, reference_count, has_references, unnest([{'t': 'publisher', 'k': publisher}, {'t': 'countainer_title', 'k': container_title},
-    {'t': 'first_subject_area', 'k': first_subject_area}, {'t': 'created', 'k': year(created::TIMESTAMP)::VARCHAR}]) AS p FROM crossref_works_summaries WHERE doi IS NOT NULL),
+    {'t': 'first_subject_area', 'k': first_subject_area}, {'t': 'created', 'k': year(created::TIMESTAMP)::VARCHAR}]) AS p FROM crossref_works_summaries),
 keyed AS (
   SELECT 'total_' || p.t AS type, p.k AS key, doi FROM pairs
   UNION ALL SELECT 'non_oa_ref_' || p.t, p.k, doi FROM pairs WHERE reference_count > 0 AND has_references = 0)"""
 
+_STRIPPED = f"CASE WHEN {{c}} <> '' THEN translate(trim({{c}}, '{text.PYTHON_WHITESPACE}'), E'\\n\\t\"', '') END"
+_TIDY = r"regexp_replace(translate({c}, E'\n\r\t', '   '), ' +', ' ', 'g')"
+_PAGES = (
+    integrity.NESTED
+    + f""", counted AS (
+  SELECT member, item_no, child_no, e, {_STRIPPED.format(c="doi")} AS cited FROM (
+    SELECT *, CASE WHEN json_type(e) = 'OBJECT' THEN e ->> '$.DOI' END AS doi FROM refs_
+    WHERE json_type(e) <> 'NULL' AND NOT (json_type(e) = 'VARCHAR' AND trim(e ->> '$', E' \\t\\n\\r') = ''))),
+per AS (
+  SELECT member, item_no, count(*)::INT AS n, count(*) FILTER (WHERE coalesce(cited, '') = '')::INT AS without,
+    (count(*) FILTER (WHERE cited <> '') - count(DISTINCT cited) FILTER (WHERE cited <> ''))::INT AS dup,
+    list_sort(list(DISTINCT cited) FILTER (WHERE cited <> '')) AS cited,
+    first(e ->> '$.key' ORDER BY child_no) FILTER (WHERE coalesce(cited, '') = '') AS bare_key FROM counted GROUP BY ALL),
+named AS (
+  SELECT member, item_no, count(*)::INT AS n_subjects, first(v ORDER BY child_no) AS first_subject, string_agg(v, '|' ORDER BY child_no) AS joined
+  FROM (SELECT *, CASE WHEN json_type(e) NOT IN ('OBJECT', 'ARRAY') THEN e ->> '$' END AS v FROM subjects_) GROUP BY ALL),
+work AS (
+  SELECT works.*, {_STRIPPED.format(c="(w ->> '$.DOI')")} AS doi, ({integrity.listed("json_extract(w, '$.reference')", True)} IS NOT NULL)::INT AS has_references,
+    coalesce(n, 0) AS num_references, coalesce(without, 0) AS num_citations_without_doi, coalesce(dup, 0) AS num_duplicate_citation_dois, coalesce(cited, []) AS cited,
+    bare_key, first_subject, joined, json_array_length({integrity.listed("json_extract(w, '$.author')", True)})::INT AS author_count
+  FROM works LEFT JOIN per USING (member, item_no) LEFT JOIN named USING (member, item_no))
+"""
+)
+_WINDOW = "WITH RECURSIVE o AS MATERIALIZED (SELECT list(o_orderkey ORDER BY o_orderkey) AS ks, list(o_custkey ORDER BY o_orderkey) AS cs FROM orders), "
+
 ORACLES = {
+    "pages_summary": _PAGES
+    + f"""SELECT doi, {_TIDY.format(c=integrity.listed_text("title"))} AS title, TRY_CAST(w ->> '$."reference-count"' AS BIGINT) AS reference_count,
+    TRY_CAST(w ->> '$."is-referenced-by-count"' AS BIGINT) AS referenced_by_count, w ->> '$.created."date-time"' AS created, w ->> '$.type' AS type,
+    {_TIDY.format(c=integrity.listed_text("publisher"))} AS publisher, {_TIDY.format(c=integrity.listed_text("container-title"))} AS container_title, author_count,
+    first_subject AS first_subject_area, coalesce(joined, '') AS subject_areas, has_references, num_references, num_citations_without_doi, num_duplicate_citation_dois,
+    to_json(cited)::VARCHAR AS cited_dois, member AS provenance FROM work""",
+    "pages_debug": _PAGES + "SELECT member AS provenance, doi, num_citations_without_doi AS n_without_doi, bare_key AS first_key FROM work",
+    "pages_links": _PAGES
+    + """, flat AS (SELECT * REPLACE (unnest(list_concat([NULL], cited)) AS cited) FROM work)
+    SELECT doi AS citing_doi, cited AS cited_doi, CASE WHEN cited IS NULL THEN has_references END AS has_references, CASE WHEN cited IS NULL THEN num_references END AS num_references,
+    CASE WHEN cited IS NULL THEN num_citations_without_doi END AS num_citations_without_doi, CASE WHEN cited IS NULL THEN num_duplicate_citation_dois END AS num_duplicate_citation_dois,
+    member AS provenance FROM flat""",
+    "uniq_window_exact": _WINDOW
+    + """w AS (
+      SELECT 0::BIGINT AS i, NULL::BIGINT AS k, NULL::BIGINT AS c, []::BIGINT[] AS held, false AS kept
+      UNION ALL SELECT i, k, c, CASE WHEN list_contains(held, c) THEN held WHEN len(held) >= 100 THEN list_append(held[1:99], c) ELSE list_append(held, c) END, NOT list_contains(held, c)
+      FROM (SELECT i + 1 AS i, ks[i + 1] AS k, cs[i + 1] AS c, held FROM w, o WHERE i < len(ks)))
+    SELECT k AS o_orderkey, c AS o_custkey, row_number() OVER (ORDER BY i) - 1 AS _place FROM w WHERE kept""",
+    "sort_window_exact": _WINDOW
+    + """w AS (
+      SELECT 0::BIGINT AS i, []::STRUCT(c BIGINT, i BIGINT, k BIGINT)[] AS held, NULL::STRUCT(c BIGINT, i BIGINT, k BIGINT) AS gone
+      UNION ALL SELECT i, CASE WHEN len(full_) > 99 THEN full_[2:] ELSE full_ END, CASE WHEN len(full_) > 99 THEN full_[1] END
+      FROM (SELECT i + 1 AS i, list_sort(list_append(held, {'c': cs[i + 1], 'i': i, 'k': ks[i + 1]})) AS full_ FROM w, o WHERE i < len(ks))),
+    leaving AS (
+      SELECT i AS step, 0 AS nth, gone AS r FROM w WHERE gone IS NOT NULL
+      UNION ALL SELECT i + 1, unnest(range(len(held))), unnest(held) FROM w WHERE i = (SELECT len(ks) FROM o))
+    SELECT r.k AS o_orderkey, r.c AS o_custkey, row_number() OVER (ORDER BY step, nth) - 1 AS _place FROM leaving""",
+    "profile_matrix": _matrix_sql("crossref_works_summaries", {"has_references": "has_references", "num_references": "num_references", "reference_count": "reference_count", "publisher": None}),
     "works_summary": f"""WITH {_REFS} SELECT doi, 'Order ' || o_orderkey || ' for ' || o_custkey AS title, o_orderkey % 7 AS reference_count,
     o_orderkey % 11 AS referenced_by_count, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS created, o_orderstatus AS type, o_orderpriority AS publisher,
     c_mktsegment AS container_title, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey % 4)::INT END AS author_count,
@@ -368,7 +475,7 @@ ORACLES = {
     "profile_summaries_by_type": _profile_sql("crossref_works_summaries", {"doi": None, "reference_count": "reference_count", "num_references": "num_references"}, {"type": _TYPE, "publisher": _PUB}),
     "profile_lineitem": _profile_sql("lineitem", {"l_quantity": "l_quantity", "l_linenumber": "l_linenumber", "l_shipdate": None}, {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus"}),
     "profile_bool_literals": _profile_sql(_FLAGS, {"flag": "(CASE flag WHEN 'True' THEN 1 WHEN 'false' THEN 0 ELSE 1 END)", "mixed": "TRY_CAST(mixed AS DOUBLE)"}),
-    "typed_total": f"""WITH {_TYPED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY type, key ORDER BY doi) AS r FROM keyed)
+    "typed_total": f"""WITH {_TYPED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY type, key ORDER BY doi NULLS FIRST) AS r FROM keyed)
     SELECT type, key, count(*) AS count, array_to_string(list(doi ORDER BY r) FILTER (WHERE r <= 10), '|') AS examples FROM ranked GROUP BY type, key""",
     "typed_reference_keys": f"""WITH {_REFS}, bare AS (SELECT '10.5555/' || l_orderkey || '#ref' || l_linenumber AS ex, '10.5555/' || l_orderkey AS doi, l_linenumber, * FROM refs WHERE ref_doi IS NULL),
     keyed AS (
@@ -384,9 +491,9 @@ ORACLES = {
     "doi_corrected_differs": _CLEANED + "SELECT citing_doi, cited_doi, original_cited_doi FROM flagged WHERE flag = 0",
     "doi_unmatched": _CLEANED + "SELECT citing_doi, original_cited_doi FROM flagged WHERE original_cited_doi <> '' AND cited_doi_valid = 'false'",
     "doi_cleaning_report": _CLEANED
-    + """SELECT count(*) FILTER (WHERE original_cited_doi <> '') AS n_dois, count(*) FILTER (WHERE original_cited_doi <> '' AND cited_doi_valid = 'true') AS n_valid,
-    count(*) FILTER (WHERE original_cited_doi <> '' AND cited_doi_valid = 'false') AS n_invalid, count(flag) AS n_corrected,
-    count(*) FILTER (WHERE flag = 0) AS n_corrected_excluding_case FROM flagged""",
+    + """SELECT count(*) AS n_dois, count(*) FILTER (WHERE cited_doi_valid = 'true') AS n_valid, count(*) FILTER (WHERE cited_doi_valid <> 'true') AS n_invalid,
+    count(*) FILTER (WHERE cited_doi_corrected = 'true') AS n_corrected,
+    count(*) FILTER (WHERE cited_doi_corrected = 'true') - count(*) FILTER (WHERE flag = 1) AS n_corrected_excluding_case FROM flagged""",
     "open_pct_overall": f"""SELECT count(*) AS n_works, count(*) FILTER (WHERE reference_count <> 0) AS n_claimed, count(*) FILTER (WHERE has_references <> 0) AS n_open,
     {_PCT.format(a="count(*) FILTER (WHERE has_references <> 0)", b="count(*) FILTER (WHERE reference_count <> 0)")} AS p_open FROM crossref_works_summaries""",
     "open_references_overall": f"""SELECT sum(reference_count)::BIGINT AS claimed, sum(num_references)::BIGINT AS open,
@@ -397,8 +504,8 @@ ORACLES = {
     "counts_from_profile": _work_counts({"type": _TYPE, "publisher": _PUB}),
     "work_totals": """SELECT count(*) AS work_count, count(*) FILTER (WHERE reference_count <> 0) AS has_references_claimed,
     count(*) FILTER (WHERE num_references <> 0) AS has_references_open FROM crossref_works_summaries""",
-    "open_sentences": f"""SELECT type, 'Out of the ' || format('{{:,}}', has_references_claimed) || ' works of type ' || type || ' with references, '
-    || printf('%.2f', p_open) || '% are open (' || format('{{:,}}', has_references_open) || ').' AS sentence
+    "open_sentences": f"""SELECT type, type || ': ' || format('{{:,}}', has_references_claimed) || ' works say they cite others; the references of '
+    || format('{{:,}}', has_references_open) || ' can be read, ' || printf('%.2f', p_open) || '% of them.' AS sentence
     FROM ({_work_counts({"type": _TYPE})}) WHERE has_references_claimed > 0""",
     "journal_vs_other": _work_counts({"type": _KEPT}),
     "top_publishers_semi": f"""WITH best AS (SELECT {_PUB} AS p FROM crossref_works_summaries GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
@@ -417,7 +524,15 @@ ORACLES = {
     "refs_by_publisher": _ref_counts({"publisher": _PUB}),
     "refs_by_merged_publisher": _ref_counts({"publisher": _MERGED}),
     "refs_by_type_merged_publisher": _ref_counts({"type": _TYPE, "publisher": _MERGED}),
-    "references_by_year": f"WITH {_REFS} SELECT ref_year AS year, count(*) AS n FROM refs JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 HAVING n > 100 ORDER BY year DESC LIMIT 150",
+    "references_by_year": f"WITH {_REFS} SELECT ref_year AS year, count(*) AS n FROM refs JOIN orders ON l_orderkey = o_orderkey WHERE ref_doi IS NULL GROUP BY 1 HAVING n > 100 ORDER BY year DESC LIMIT 150",
+    "closed_top_ratio": _closed("container_title").replace("SELECT container_title", "SELECT container_title AS key", 1).replace("WHERE container_title IS NOT NULL", "")
+    + " ORDER BY n_closed DESC, container_title LIMIT 10",
+    "typed_from_file": f"""WITH {_REFS}, bare AS (SELECT '10.5555/' || l_orderkey AS doi, 'ref' || l_linenumber AS ex, l_linenumber, * FROM refs WHERE ref_doi IS NULL),
+    keyed AS (
+      SELECT 'key_combination' AS type, CASE WHEN unstructured <> '' THEN 'key|unstructured|year' ELSE 'key|year' END AS key, ex, doi, l_linenumber FROM bare
+      UNION ALL SELECT 'year', ref_year, ex, doi, l_linenumber FROM bare)
+    SELECT type, key, count(*) AS count, first(ex ORDER BY doi, l_linenumber) AS first_key FROM keyed GROUP BY type, key""",
+    "profile_from_file": _work_counts({"type": _TYPE, "publisher": _PUB}),
     "grouped_equals_ungrouped": "SELECT coalesce(sum(reference_count), 0)::BIGINT AS claimed, coalesce(sum(num_references), 0)::BIGINT AS open, true AS equal FROM crossref_works_summaries",
     "formatted_counts": f"SELECT type, format('{{:,}}', work_count) AS works, printf('%.2f', p_open) || '%' AS open FROM ({_work_counts({'type': _TYPE})})",
 }

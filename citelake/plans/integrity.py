@@ -187,7 +187,7 @@ def _profile_sql() -> str:
     UNION ALL SELECT NULL, column_name, true, {stats} FROM cells GROUP BY column_name"""
 
 
-def _listed(raw: str, text_is_json: bool = False) -> str:
+def listed(raw: str, text_is_json: bool = False) -> str:
     """SQL for the elements of `raw` as a JSON array: an array, one element in its place, or what JSON text holds."""
     if text_is_json:
         raw = f"(CASE WHEN json_type({raw}) = 'VARCHAR' THEN CASE WHEN json_valid({raw} ->> '$') THEN ({raw} ->> '$')::JSON END ELSE {raw} END)"
@@ -203,24 +203,24 @@ def _elements(name: str, source: str, keys: str, arr: str, place: str) -> str:
       SELECT {keys}, a, unnest(range(json_array_length(a)::BIGINT)) AS {place} FROM (SELECT {keys}, {arr} AS a FROM {source}) WHERE a IS NOT NULL))"""
 
 
-_NESTED = "WITH " + ", ".join(
+NESTED = "WITH " + ", ".join(
     [
-        _elements("items", "works_pages", "member", "CASE WHEN json_valid(content) THEN " + _listed("json_extract(content, '$.message.items')") + " END", "item_no"),
+        _elements("items", "works_pages", "member", "CASE WHEN json_valid(content) THEN " + listed("json_extract(content, '$.message.items')") + " END", "item_no"),
         "works AS (SELECT member, item_no, e AS w FROM items WHERE json_type(e) = 'OBJECT' AND e::VARCHAR <> '{}')",
-        _elements("authors_", "works", "member, item_no", _listed("json_extract(w, '$.author')", True), "child_no"),
+        _elements("authors_", "works", "member, item_no", listed("json_extract(w, '$.author')", True), "child_no"),
         f"authors AS (SELECT * FROM authors_ WHERE {_FULL})",
-        _elements("affiliations_", "authors", "member, item_no, child_no", _listed("json_extract(e, '$.affiliation')"), "sub_no"),
+        _elements("affiliations_", "authors", "member, item_no, child_no", listed("json_extract(e, '$.affiliation')"), "sub_no"),
         f"affiliations AS (SELECT * FROM affiliations_ WHERE {_FULL})",
-        _elements("refs_", "works", "member, item_no", _listed("json_extract(w, '$.reference')", True), "child_no"),
+        _elements("refs_", "works", "member, item_no", listed("json_extract(w, '$.reference')", True), "child_no"),
         f"refs AS (SELECT * FROM refs_ WHERE {_FULL})",
-        _elements("subjects_", "works", "member, item_no", _listed("json_extract(w, '$.subject')"), "child_no"),
+        _elements("subjects_", "works", "member, item_no", listed("json_extract(w, '$.subject')"), "child_no"),
         f"subjects AS (SELECT * FROM subjects_ WHERE {_FULL} AND json_type(e) NOT IN ('OBJECT', 'ARRAY')) ",
     ]
 )
 _PLACES = "member, item_no::INT AS item_no, child_no::INT AS child_no"
 
 
-def _listed_text(key: str) -> str:
+def listed_text(key: str) -> str:
     v = f"json_extract(w, '$.\"{key}\"')"
     return f"CASE json_type({v}) WHEN 'ARRAY' THEN array_to_string(from_json({v}, '[\"VARCHAR\"]'), ' ') ELSE {v} ->> '$' END"
 
@@ -252,18 +252,18 @@ ORACLES = {
     strftime(received_at, '%Y-%m') AS month, count(*) AS n_orphans FROM judged WHERE withdrawn OR missing GROUP BY ALL""",
     "p2_found": _LOSERS + "SELECT row_id FROM ranked WHERE place > 1",
     "p2_kept": _LOSERS + "SELECT row_id, doi, title, publisher, type, provenance, load_no FROM ranked WHERE place = 1",
-    "p3_found": _NESTED
+    "p3_found": NESTED
     + """SELECT member, item_no::INT AS item_no, kind, child_no::INT AS child_no, sub_no::INT AS sub_no FROM (
     SELECT member, item_no, 'author' AS kind, child_no, -1 AS sub_no FROM authors UNION ALL SELECT member, item_no, 'affiliation', child_no, sub_no FROM affiliations
     UNION ALL SELECT member, item_no, 'reference', child_no, -1 FROM refs UNION ALL SELECT member, item_no, 'subject', child_no, -1 FROM subjects)""",
-    "p3_works": _NESTED
-    + f"""SELECT member, item_no::INT AS item_no, w ->> '$.DOI' AS doi, {_listed_text("title")} AS title, {_listed_text("publisher")} AS publisher,
-    {_listed_text("container-title")} AS container_title, w ->> '$.type' AS type, w ->> '$."reference-count"' AS reference_count,
+    "p3_works": NESTED
+    + f"""SELECT member, item_no::INT AS item_no, w ->> '$.DOI' AS doi, {listed_text("title")} AS title, {listed_text("publisher")} AS publisher,
+    {listed_text("container-title")} AS container_title, w ->> '$.type' AS type, w ->> '$."reference-count"' AS reference_count,
     w ->> '$."is-referenced-by-count"' AS referenced_by_count, w ->> '$.created."date-time"' AS created FROM works""",
-    "p3_authors": _NESTED + f"SELECT {_PLACES}, e ->> '$.given' AS given, e ->> '$.family' AS family, e ->> '$.sequence' AS sequence FROM authors",
-    "p3_affiliations": _NESTED + f"SELECT {_PLACES}, sub_no::INT AS sub_no, e ->> '$.name' AS affiliation_name FROM affiliations",
-    "p3_subjects": _NESTED + f"SELECT {_PLACES}, e ->> '$' AS subject FROM subjects",
-    "p3_references": _NESTED
+    "p3_authors": NESTED + f"SELECT {_PLACES}, e ->> '$.given' AS given, e ->> '$.family' AS family, e ->> '$.sequence' AS sequence FROM authors",
+    "p3_affiliations": NESTED + f"SELECT {_PLACES}, sub_no::INT AS sub_no, e ->> '$.name' AS affiliation_name FROM affiliations",
+    "p3_subjects": NESTED + f"SELECT {_PLACES}, e ->> '$' AS subject FROM subjects",
+    "p3_references": NESTED
     + f"SELECT {_PLACES}, e ->> '$.key' AS reference_key, e ->> '$.DOI' AS reference_doi, e ->> '$.year' AS reference_year, json(e)::VARCHAR AS reference_json FROM refs",
     "p6_shifts": _SHIFTS,
     "p6_found": _NUMBERS

@@ -9,17 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citelake.functions.text import list_or_scalar
+from citelake.functions.text import elements, list_or_scalar, plain_text
 
-REFERENCES = "array<map<string,string>>"
+REFERENCE = "map<string,string>"
 
 
 def pages_to_works(pages: DataFrame, *, quarantine: bool = False) -> DataFrame:
-    """The works of pages `(member, content)`. A page that is no JSON raises, or is left out with `quarantine` (see `broken_pages`)."""
+    """The works of pages `(member, content)`. A page that is no JSON raises, or is left out with `quarantine` (see `broken_pages`).
+
+    A single author, subject or reference in place of a list is a list of one; authors and references given as JSON text count as
+    what it holds. Every author counts. Null and blank references are left out; one that is no object has no keys. Null and blank
+    works are left out.
+    """
     parse = F.try_parse_json if quarantine else F.parse_json
-    items = F.try_variant_get(parse(F.col("content")), "$.message.items", "array<variant>")
     w = F.col("w")
-    return pages.select("member", F.explode(items).alias("w")).select(
+    works = pages.select("member", F.explode(elements(parse(F.col("content")), "$.message.items")).alias("w"))
+    filled = F.filter(elements(w, "$.reference", True), lambda r: (F.schema_of_variant(r) != "VOID") & F.coalesce(plain_text(r), F.lit("x")).rlike(r"\S"))
+    return works.where(F.schema_of_variant(w).startswith("OBJECT") & (F.to_json(w) != "{}")).select(
         "member",
         F.try_variant_get(w, "$.DOI", "string").alias("doi"),
         list_or_scalar(w, "$.title").alias("title"),
@@ -29,9 +35,9 @@ def pages_to_works(pages: DataFrame, *, quarantine: bool = False) -> DataFrame:
         F.try_variant_get(w, '$["reference-count"]', "bigint").alias("reference_count"),
         F.try_variant_get(w, '$["is-referenced-by-count"]', "bigint").alias("referenced_by_count"),
         F.try_variant_get(w, '$.created["date-time"]', "string").alias("created"),
-        F.try_variant_get(w, "$.author", "array<variant>").alias("authors"),
-        F.try_variant_get(w, "$.subject", "array<string>").alias("subjects"),
-        F.from_json(F.try_variant_get(w, "$.reference", "string"), REFERENCES).alias("references"),
+        elements(w, "$.author", True).alias("authors"),
+        F.transform(elements(w, "$.subject"), plain_text).alias("subjects"),
+        F.transform(filled, lambda r: F.coalesce(F.from_json(F.to_json(r), REFERENCE), F.create_map().cast(REFERENCE))).alias("references"),
     )
 
 

@@ -22,11 +22,22 @@ from citelake.sources.zip_pages import member_name
 RETRIED = frozenset({500, 502, 503, 504})  # fixed values: responses worth another try
 
 
-def fetch(url: str, retries: int = 10, pause: float = 0.1, timeout: float = 60.0) -> bytes:
-    """The body at a URL; server errors, broken connections and truncated bodies are tried again with growing pauses."""
+class _FewRedirects(urllib.request.HTTPRedirectHandler):
+    max_redirections = 5
+
+
+def pause_before(attempt: int, factor: float, longest: float) -> float:
+    """Seconds to wait before another attempt: none before the first, then doubling from twice the factor, up to `longest`."""
+    return 0.0 if attempt <= 1 else min(longest, factor * 2 ** (attempt - 1))
+
+
+def fetch(url: str, retries: int = 10, factor: float = 1.0, longest: float = 120.0, timeout: float = 60.0) -> bytes:
+    """The body at a URL; server errors, broken connections and truncated bodies are tried again with growing pauses. At most 5 redirects."""
+    opener = urllib.request.build_opener(_FewRedirects)
     for attempt in range(retries + 1):
+        time.sleep(pause_before(attempt, factor, longest))
         try:
-            with urllib.request.urlopen(url, timeout=timeout) as response:
+            with opener.open(url, timeout=timeout) as response:
                 return response.read()
         except urllib.error.HTTPError as e:
             if e.code not in RETRIED or attempt == retries:
@@ -34,7 +45,6 @@ def fetch(url: str, retries: int = 10, pause: float = 0.1, timeout: float = 60.0
         except (urllib.error.URLError, http.client.HTTPException, ConnectionError, TimeoutError):
             if attempt == retries:
                 raise
-        time.sleep(pause * 2**attempt)
     raise AssertionError
 
 
@@ -46,6 +56,7 @@ class CursorPagesReader(SimpleDataSourceStreamReader):
         self.rows = int(options.get("rows", 1000))
         self.pages = int(options.get("pagesPerBatch", options.get("pagesperbatch", 10)))
         self.retries = int(options.get("maxretries", options.get("maxRetries", 10)))
+        self.factor = float(options.get("pausefactor", options.get("pauseFactor", 1.0)))
         self.stem = options.get("stem", "works")
         self.email = options.get("email")
 
@@ -60,7 +71,7 @@ class CursorPagesReader(SimpleDataSourceStreamReader):
             raise ValueError(f"the checkpoint was written with {start['rows']} rows a page, not {self.rows}")
         at = dict(start)
         with ThreadPoolExecutor(1) as pool:
-            ahead = None if at["done"] else pool.submit(fetch, self.page_url(at["cursor"]), self.retries)
+            ahead = None if at["done"] else pool.submit(fetch, self.page_url(at["cursor"]), self.retries, self.factor)
             for n in range(most):
                 if at["done"]:
                     return
@@ -72,7 +83,7 @@ class CursorPagesReader(SimpleDataSourceStreamReader):
                 done = not following or following == at["cursor"] or not message.get("items")
                 at = {"cursor": at["cursor"] if done else following, "page": at["page"] + 1, "offset": at["offset"] + self.rows, "rows": self.rows, "done": done}
                 if not done and n + 1 < most:
-                    ahead = pool.submit(fetch, self.page_url(following), self.retries)
+                    ahead = pool.submit(fetch, self.page_url(following), self.retries, self.factor)
                 yield (member, content), at
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
@@ -84,7 +95,7 @@ class CursorPagesReader(SimpleDataSourceStreamReader):
 
 
 class CursorPages(DataSource):
-    """Options: url, rows (a page, 1000), pagesPerBatch (10), maxRetries (10), stem, email."""
+    """Options: url, rows (a page, 1000), pagesPerBatch (10), maxRetries (10), pauseFactor (1), stem, email."""
 
     @classmethod
     def name(cls) -> str:

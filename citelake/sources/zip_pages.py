@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -17,17 +18,31 @@ class MemberRange(InputPartition):
     last: int
 
 
+@contextmanager
+def _archive(path: str) -> Iterator[zipfile.ZipFile]:
+    """An archive on a local or any other file system by URI (`hdfs://`, `s3://`, ...); only the members asked for are read."""
+    if "://" in path:
+        from pyarrow.fs import FileSystem
+
+        fs, inner = FileSystem.from_uri(path)
+        with fs.open_input_file(inner) as file, zipfile.ZipFile(file) as archive:
+            yield archive
+    else:
+        with zipfile.ZipFile(path.removeprefix("file:")) as archive:
+            yield archive
+
+
 class ZipPagesReader(DataSourceReader):
     def __init__(self, path: str, members_per_task: int):
         self.path, self.size = path, members_per_task
 
     def partitions(self) -> list[MemberRange]:
-        with zipfile.ZipFile(self.path) as archive:
+        with _archive(self.path) as archive:
             n = len(archive.infolist())
         return [MemberRange(self.path, i, min(n, i + self.size)) for i in range(0, n, self.size)] or [MemberRange(self.path, 0, 0)]
 
     def read(self, partition: MemberRange) -> Iterator[tuple[str, str]]:
-        with zipfile.ZipFile(partition.path) as archive:
+        with _archive(partition.path) as archive:
             for info in archive.infolist()[partition.first : partition.last]:
                 yield info.filename, archive.read(info).decode("utf-8")
 
@@ -60,7 +75,10 @@ COMPRESSION = {"deflate": zipfile.ZIP_DEFLATED, "bzip2": zipfile.ZIP_BZIP2, "lzm
 
 
 def append_to_zip(pages, path: str, compression: str = "lzma") -> int:
-    """Append pages `(member, content)` to an archive, streaming them through the driver one at a time; returns how many."""
+    """Append pages `(member, content)` to an archive on the driver's file system, streaming them one at a time; returns how many.
+
+    An archive has one directory at its end, so only one writer can append; parquet is the sink for many.
+    """
     n = 0
     with zipfile.ZipFile(path, "a", COMPRESSION[compression]) as archive:
         for row in pages.select("member", "content").toLocalIterator():

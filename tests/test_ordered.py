@@ -47,3 +47,10 @@ def test_sort_unique_uses_whole_lines(spark):
     assert [tuple(r) for r in ordered.sort_unique(df).collect()] == [("a", "z"), ("a b", "c")]
     assert ordered.deduplicated(df, ["x"]).count() == 2
     assert [r["x"] for r in ordered.sorted_by(df, "x").collect()] == ["a", "a", "a b"]
+
+
+def test_dropped_rows_come_with_the_window(spark):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate("abacab")], "n int, k string")
+    rows = ordered.windowed(df, order="n", key="k", size=2, sort=False, with_dropped=True).collect()
+    kept = [r["n"] for r in sorted((r for r in rows if r["_place"] is not None), key=lambda r: r["_place"])]
+    assert kept == [0, 1, 3, 5] and sorted(r["n"] for r in rows if r["_place"] is None) == [2, 4]

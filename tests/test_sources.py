@@ -5,7 +5,7 @@ import gzip
 import io
 import json
 import threading
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs, urlparse
 
@@ -13,7 +13,8 @@ import pytest
 
 from citelake.operators.delivery import DeliveryStore
 from citelake.session import scratch_path
-from citelake.sources import cursor_pages, delimited
+from citelake.functions import text
+from citelake.sources import cursor_pages, delimited, zip_pages
 from citelake.streaming import incremental
 
 ODD = [("a", None), ('say "hi"', "x\ty"), ("line\nfeed", ""), (" padded ", "a,b"), ("", "é")]
@@ -30,7 +31,7 @@ def test_delimited_round_trip(spark, tmp_path, name, crlf):
     out.writerows([("x", "y"), *[["" if v is None else v for v in r] for r in ODD]])
     assert raw.count("\r") == (len(ODD) + 1 if crlf else 0)
     assert list(csv.reader(io.StringIO(raw, newline=""), delimiter=delimited.separator(name))) == list(csv.reader(io.StringIO(buffer.getvalue(), newline=""), delimiter=delimited.separator(name)))
-    back = delimited.read_delimited(spark, path)
+    back = delimited.read_delimited(spark, path, multi_line=True)
     assert [tuple(r) for r in back.collect()] == [(a or None, b or None) for a, b in ODD]
     assert not [p for p in (tmp_path / "deep").iterdir() if p.name != name and not p.name.startswith(".")]
 
@@ -93,7 +94,7 @@ def server():
 
 
 def test_cursor_reader(server):
-    reader = cursor_pages.CursorPagesReader({"url": server, "rows": "2", "pagesPerBatch": "4"})
+    reader = cursor_pages.CursorPagesReader({"url": server, "rows": "2", "pagesPerBatch": "4", "pauseFactor": "0.05"})
     start = reader.initialOffset()
     pages, middle = reader.read(start)
     assert [m for m, _ in pages] == [f"works-page-{i}-offset-{2 * i}.json" for i in range(4)] and not middle["done"]
@@ -108,7 +109,7 @@ def test_cursor_reader(server):
 
 def test_page_stream_lands_every_page_once(spark, tmp_path, server):
     for _ in range(2):  # the second run goes on from the checkpoint and finds nothing new
-        query = incremental.land_pages(incremental.page_stream(spark, server, rows=2, pagesPerBatch=2), str(tmp_path / "pages"), str(tmp_path / "ck"))
+        query = incremental.land_pages(incremental.page_stream(spark, server, rows=2, pagesPerBatch=2, pauseFactor=0.05), str(tmp_path / "pages"), str(tmp_path / "ck"))
         query.processAllAvailable()
         query.stop()
     members = [r["member"] for r in spark.read.parquet(str(tmp_path / "pages")).collect()]
@@ -140,3 +141,19 @@ def test_streaming_forms(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert {(r["doi"], r["n_messages"]) for r in spark.table("periods").collect()} == {("a", 1), ("b", 1), ("c", 1)}
+
+
+def test_pauses_grow_up_to_a_limit():
+    assert [cursor_pages.pause_before(n, 1.0, 120.0) for n in (0, 1, 2, 3, 9)] == [0, 0, 2, 4, 120]
+
+
+def test_zip_by_uri(spark, tmp_path):
+    path = str(tmp_path / "pages.zip")
+    zip_pages.append_to_zip(spark.createDataFrame([(f"p{i}", f"{{{i}}}") for i in range(20)], "member string, content string").coalesce(1), path, "deflate")
+    for name in (path, f"file://{path}"):
+        assert sorted((r["member"], r["content"]) for r in zip_pages.read_zip(spark, name).collect()) == sorted((f"p{i}", f"{{{i}}}") for i in range(20))
+
+
+def test_utc_now(spark):
+    now = spark.range(1).select(text.utc_now().alias("t")).first()["t"]
+    assert abs((datetime.strptime(now, "%Y-%m-%dT%H:%M:%SZ") - datetime.now(UTC).replace(tzinfo=None)).total_seconds()) < 60

@@ -1,5 +1,6 @@
 """The hand-written corpus: pages to works, summaries, links, counts, profile, command line."""
 
+import csv
 import gzip
 import json
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citelake import cli
-from citelake.operators import citations, profile, summaries, typed_counts
+from citelake.operators import citations, doi_quality, profile, summaries, typed_counts
 from citelake.operators.refs import references_without_doi
 from citelake.plans.works import broken_pages, pages_to_works
 from citelake.sources import delimited, zip_pages
@@ -128,11 +129,55 @@ def test_command_line(spark, tmp_path):
     assert (tmp_path / "stats.tsv").read_text().startswith("type\tstat\t")
     cli.main(["number-dois", "--input-file", str(tmp_path / "c.csv"), "--output-file", str(tmp_path / "ids.tsv")])
     assert (tmp_path / "ids.tsv").read_text().splitlines()[1] == "0\t10.5555/A"
-    cli.main(["reference-stats", "--input-file", archive, "--output-file", str(tmp_path / "r.tsv")])
-    assert (tmp_path / "r.tsv").read_text().splitlines()[0] == "type\tkey\tcount\texamples"
+    cli.main(["extract-summaries", "--input-file", archive, "--output-file", str(tmp_path / "d.tsv"), "--debug", "--clean-window-size", "2"])
+    cli.main(["reference-stats", "--input-file", str(tmp_path / "d.tsv"), "--output-file", str(tmp_path / "r.tsv")])
+    stats = [tuple(r) for r in csv.reader(open(tmp_path / "r.tsv", newline=""), delimiter="\t")]
+    assert stats[0] == ("type", "key", "count", "examples")
+    found = {(t, k): (int(n), json.loads(x)) for t, k, n, x in stats[1:]}
+    assert found["year", "1999"] == (1, [["10.5555/A", {"key": "k3", "unstructured": "", "year": "1999"}]])
+    assert found["non_oa_ref_publisher", "Other Press"] == (1, ["10.5555/c"]) and found["key_combination", ""][0] == 2
+    typed = typed_counts.from_file(delimited.read_delimited(spark, str(tmp_path / "r.tsv"))).collect()
+    assert [r["without_source"] for r in typed if (r["type"], r["key"]) == ("year", "1999")] == [['{"key":"k3","unstructured":"","year":"1999"}']]
+    (tmp_path / "bad.tsv").write_text((tmp_path / "d.tsv").read_text().replace("\t3\t", "\tmany\t"))
+    with pytest.raises(SystemExit):
+        cli.main(["reference-stats", "--input-file", str(tmp_path / "bad.tsv"), "--output-file", "x", "--save-failing-df", str(tmp_path / "failing.tsv")])
+    assert len((tmp_path / "failing.tsv").read_text().splitlines()) == 3
+    cli.main(["export-typed", "--kind", "summaries", "--input-file", str(tmp_path / "d.tsv"), "--output", str(tmp_path / "w")])
+    cli.main(["export-typed", "--kind", "citations", "--input-file", str(tmp_path / "c.csv"), "--output", str(tmp_path / "wc")])
+    assert spark.read.parquet(str(tmp_path / "w")).count() == 4 and spark.read.parquet(str(tmp_path / "wc")).columns == ["citing_doi", "cited_doi"]
+    cli.main(["extract-citations", "--input-file", archive, "--output-file", str(tmp_path / "c.psv"), "--empty-link", "--delimiter", "|", "--parts"])
+    assert delimited.read_delimited(spark, str(tmp_path / "c.psv"), sep="|").count() == 5
     cli.main(["sort-unique", "--input-file", str(tmp_path / "s.tsv.gz")])
     assert (tmp_path / "s.tsv.gz.backup").exists()
     with pytest.raises(FileExistsError):
         delimited.replace_with_backup(spark.range(1), str(tmp_path / "s.tsv.gz"))
     with pytest.raises(SystemExit):
         cli.main(["csv-stats", "--input-file", "x", "--output-file", "y", "--group-by", "a", "--no-header"])
+
+
+def test_cleaning_stage(spark, tmp_path):
+    rows = [("a", "10.1/X", "10.1/x", "true", "true"), ("a", "10.1/y", "10.1/yy", "true", "true"), ("b", "", "10.1/z", "false", "false"), ("c", "10.1/w", "10.1/w", "true", "false")]
+    df = spark.createDataFrame(rows, "citing_doi string, cited_doi string, original_cited_doi string, cited_doi_valid string, cited_doi_corrected string")
+    delimited.write_delimited(df, str(tmp_path / "cleaned.tsv.gz"), crlf=True)
+    names = {n: str(tmp_path / f"{n}.tsv") for n in ("stats", "corrected", "unmatched")}
+    cli.main(["doi-cleaning-stats", "--input-file", str(tmp_path / "cleaned.tsv.gz"), *[x for n, p in names.items() for x in (f"--{n}-file", p)]])
+    lines = {n: open(p).read().splitlines() for n, p in names.items()}
+    assert [x.split("\t")[1] for x in lines["corrected"][1:]] == ["10.1/y"] and [x.split("\t")[2] for x in lines["unmatched"][1:]] == ["10.1/z"]
+    assert "doi_corrected_equal_case_insensitve" in lines["stats"][0]
+    report = doi_quality.cleaning_report(delimited.read_delimited(spark, str(tmp_path / "cleaned.tsv.gz"))).first()
+    assert tuple(report) == (4, 3, 1, 2, 1)
+
+
+def test_works_of_other_shapes(spark):
+    """A single author, subject or reference, JSON text, nulls and blanks, as the flat tables have them."""
+    items = [
+        {"DOI": "a", "author": {"given": "G"}, "subject": "Bio", "reference": {"DOI": "x"}},
+        {"DOI": "b", "author": json.dumps([{"given": "G"}, {}]), "reference": json.dumps([{"key": "k"}, None, " "]), "subject": ["A", None, "B"]},
+        {"DOI": "c", "author": "", "subject": "", "reference": "no json"}, None, {}, "text", {"DOI": "d", "author": [None, {}], "reference": ["text", {}, {"DOI": "y", "n": {"m": 1}}]},
+    ]
+    works = pages_to_works(spark.createDataFrame([("p", page(items)), ("q", json.dumps({"message": {"items": items[0]}}))], "member string, content string"))
+    got = {(r["provenance"], r["doi"]): tuple(r[c] for c in ("author_count", "first_subject_area", "subject_areas", "has_references", "num_references", "num_citations_without_doi")) for r in summaries.summarise(works, provenance=True).collect()}
+    assert got == {
+        ("p", "a"): (1, "Bio", "Bio", 1, 1, 0), ("q", "a"): (1, "Bio", "Bio", 1, 1, 0), ("p", "b"): (2, "A", "A|B", 1, 1, 1),
+        ("p", "c"): (None, None, "", 0, 0, 0), ("p", "d"): (2, None, "", 1, 3, 2),
+    }
