@@ -13,18 +13,30 @@ from pyspark.sql import functions as F
 from citelake.session import materialise
 
 EXACT = "decimal(38,0)"
+LONGEST = 64
 
 
-def histogram(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
-    """(load, column_name, value as text, n): hot values are combined before the shuffle."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
-    long = df.select(F.col(f"`{load}`").alias("load"), F.explode(cells).alias("c")).select("load", "c.column_name", "c.value")
-    return long.groupBy("load", "column_name", "value").agg(F.count("*").alias("n"))
+def histogram(df: DataFrame, load: str, columns: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
+    """(load, column_name, value, digested, broken, n): hot values are combined before the shuffle.
+
+    `value` is the text; one longer than `LONGEST` characters goes by its digest, so wide columns stay cheap to tell apart.
+    `broken` tells whether the text violates its column's pattern.
+    """
+    patterns = patterns or {}
+
+    def cell(c: str):
+        text = F.col(f"`{c}`").cast("string")
+        long = F.coalesce(F.length(text) > LONGEST, F.lit(False))
+        broken = F.coalesce(~text.rlike(patterns[c]), F.lit(False)) if c in patterns else F.lit(False)
+        return F.struct(F.lit(c).alias("column_name"), F.when(long, F.sha2(text, 256)).otherwise(text).alias("value"), long.alias("digested"), broken.alias("broken"))
+
+    long = df.select(F.col(f"`{load}`").alias("load"), F.explode(F.array(*[cell(c) for c in columns])).alias("c")).select("load", "c.*")
+    return long.groupBy("load", "column_name", "value", "digested", "broken").agg(F.count("*").alias("n"))
 
 
-def _statistics(low: int, high: int, patterns: dict[str, str]) -> list[Column]:
+def _statistics(low: int, high: int) -> list[Column]:
     n, v = F.col("n"), F.col("value")
-    number = F.when(v.rlike(r"^[+-]?[0-9]{1,37}([.]0*)?$"), v.try_cast(EXACT))
+    number = F.when(~F.col("digested") & v.rlike(r"^[+-]?[0-9]{1,37}([.]0*)?$"), v.try_cast(EXACT))
     outside = number.isNotNull() & ((number < low) | (number > high))
     inside = F.when(number.isNotNull() & ~outside, number)
 
@@ -34,15 +46,12 @@ def _statistics(low: int, high: int, patterns: dict[str, str]) -> list[Column]:
             term = (term * inside).cast(EXACT)
         return F.coalesce(F.sum(F.when(inside.isNotNull(), term)), F.lit(0)).cast(EXACT)
 
-    broken = F.lit(False)
-    for column, pattern in patterns.items():
-        broken = broken | ((F.col("column_name") == column) & v.isNotNull() & ~v.rlike(pattern))
     return [
         F.sum("n").alias("n_rows"),
         F.coalesce(F.sum(F.when(v.isNull(), n)), F.lit(0)).alias("n_null"),
         F.count(v).alias("n_distinct"),
         F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("n_outside"),
-        F.coalesce(F.sum(F.when(broken, n)), F.lit(0)).alias("n_broken"),
+        F.coalesce(F.sum(F.when(F.col("broken"), n)), F.lit(0)).alias("n_broken"),
         F.coalesce(F.sum(F.when(inside.isNotNull(), n)), F.lit(0)).alias("n_valid"),
         F.min(inside).alias("lowest"),
         F.max(inside).alias("highest"),
@@ -58,10 +67,10 @@ def profile_loads(df: DataFrame, *, load: str, columns: list[str], low: int = 0,
     Values that are no whole numbers have no numeric statistics. A null load is a load. An empty table has no rows here.
     With n rows, n * high^4 must stay below 10^38; beyond, Spark raises an overflow error rather than rounding.
     """
-    counts = materialise(histogram(df, load, columns), "histogram")
-    stats = _statistics(low, high, patterns or {})
+    counts = materialise(histogram(df, load, columns, patterns), "histogram")
+    stats = _statistics(low, high)
     by_load = counts.groupBy("load", "column_name").agg(*stats).withColumn("overall", F.lit(False))
-    merged = counts.groupBy("column_name", "value").agg(F.sum("n").alias("n"))
+    merged = counts.groupBy("column_name", "value", "digested", "broken").agg(F.sum("n").alias("n"))
     overall = merged.groupBy("column_name").agg(*stats).withColumn("overall", F.lit(True))
     overall = overall.withColumn("load", F.lit(None).cast(df.schema[load].dataType))
     return by_load.unionByName(overall.select(by_load.columns))

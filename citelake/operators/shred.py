@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +165,14 @@ def table_of(columns: dict[tuple[str, ...], Column], path: tuple[str, ...], leav
     return out
 
 
+def only(spec: Repeated, path: tuple[str, ...]) -> Repeated:
+    """The part of `spec` that the table at `path` needs: its leaves, and the repeated fields on the way to it."""
+    rest = path[1:]
+    if not rest:
+        return replace(spec, inner=())
+    return replace(spec, leaves={}, inner=tuple(only(s, rest) for s in spec.inner if s.name == rest[0]))
+
+
 PATHS = {
     "work": (("work",), list(WORK.leaves)),
     "author": (("work", "author"), list(AUTHOR.leaves)),
@@ -175,11 +183,11 @@ PATHS = {
 PLACES = {"work": ["item_no"], "author": ["item_no", "child_no"], "affiliation": ["item_no", "child_no", "sub_no"], "subject": ["item_no", "child_no"], "reference": ["item_no", "child_no"]}
 
 
-def _pages_at_a_time(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, Shredder]]:
+def _pages_at_a_time(batches: Iterator[pa.RecordBatch], size: int, spec: Repeated = WORK) -> Iterator[tuple[list, Shredder]]:
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             part = batch.slice(start, size)
-            shredder = Shredder()
+            shredder = Shredder(spec)
             for content in part.column(1):
                 shredder.page(content.as_py())
             yield part.column(0), shredder
@@ -187,9 +195,10 @@ def _pages_at_a_time(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[t
 
 def _flatten(kind: str, size: int) -> Callable:
     path, leaves = PATHS[kind]
+    spec = only(WORK, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for members, shredder in _pages_at_a_time(batches, size):
+        for members, shredder in _pages_at_a_time(batches, size, spec):
             t = table_of(shredder.columns, path, leaves)
             arrays = [members.take(pa.array(t["page"]))]
             arrays += [pa.array(t[f"place{i}"], pa.int32()) for i in range(1, len(path) + 1)]

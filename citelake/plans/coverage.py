@@ -99,17 +99,25 @@ def _profiled(df, by=None):
     return long.withColumns(doubles)
 
 
+#: Every column of the summaries.
+PROFILE = {
+    **dict.fromkeys(["doi", "title", "created", "type", "publisher", "container_title", "first_subject_area", "subject_areas", "cited_dois", "provenance", "received_at"]),
+    **{c: c for c in ["row_id", "reference_count", "referenced_by_count", "author_count", "has_references", "num_references", "num_citations_without_doi", "num_duplicate_citation_dois", "load_no"]},
+}
+
+
 def profile_summaries(s, d):
-    return _profiled(_summaries(s, d).select("doi", "reference_count", "has_references", "num_references", "publisher"))
+    return _profiled(_summaries(s, d).select(*PROFILE))
 
 
 def profile_summaries_by_type(s, d):
-    return _profiled(_summaries(s, d).select("type", "publisher", "doi", "reference_count", "num_references"), ["type", "publisher"])
+    return _profiled(_summaries(s, d).select(*PROFILE), ["type", "publisher"])
 
 
 def profile_lineitem(s, d):
-    columns = ["l_returnflag", "l_linestatus", "l_quantity", "l_linenumber", "l_shipdate"]
-    return _profiled(table(s, d, "lineitem").select(*columns), ["l_returnflag", "l_linestatus"])
+    # Amounts in hundredths: their sums are exact in any order.
+    cents = {c: F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount", "l_tax")}
+    return _profiled(table(s, d, "lineitem").withColumns(cents), ["l_returnflag", "l_linestatus"])
 
 
 def profile_bool_literals(s, d):
@@ -471,9 +479,13 @@ ORACLES = {
     TRY_CAST(json_extract_string(content, '$.message.total-results') AS BIGINT) AS total_results FROM works_pages WHERE json_valid(content)""",
     "clean_text_documents": r"SELECT doc_id, regexp_replace(translate(text, E'\n\r\t', '   '), ' +', ' ', 'g') AS clean FROM documents",
     "clean_doi_citations": f"SELECT row_id, CASE WHEN cited_doi <> '' THEN {_STRIP} END AS clean FROM crossref_works_citations",
-    "profile_summaries": _profile_sql("crossref_works_summaries", {"doi": None, "reference_count": "reference_count", "has_references": "has_references", "num_references": "num_references", "publisher": None}),
-    "profile_summaries_by_type": _profile_sql("crossref_works_summaries", {"doi": None, "reference_count": "reference_count", "num_references": "num_references"}, {"type": _TYPE, "publisher": _PUB}),
-    "profile_lineitem": _profile_sql("lineitem", {"l_quantity": "l_quantity", "l_linenumber": "l_linenumber", "l_shipdate": None}, {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus"}),
+    "profile_summaries": _profile_sql("crossref_works_summaries", PROFILE),
+    "profile_summaries_by_type": _profile_sql("crossref_works_summaries", {c: n for c, n in PROFILE.items() if c not in ("type", "publisher")}, {"type": _TYPE, "publisher": _PUB}),
+    "profile_lineitem": _profile_sql(
+        "(SELECT * REPLACE (round(l_extendedprice * 100)::BIGINT AS l_extendedprice, round(l_discount * 100)::BIGINT AS l_discount, round(l_tax * 100)::BIGINT AS l_tax) FROM lineitem)",
+        {c: c for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")} | {"l_shipdate": None},
+        {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus"},
+    ),
     "profile_bool_literals": _profile_sql(_FLAGS, {"flag": "(CASE flag WHEN 'True' THEN 1 WHEN 'false' THEN 0 ELSE 1 END)", "mixed": "TRY_CAST(mixed AS DOUBLE)"}),
     "typed_total": f"""WITH {_TYPED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY type, key ORDER BY doi NULLS FIRST) AS r FROM keyed)
     SELECT type, key, count(*) AS count, array_to_string(list(doi ORDER BY r) FILTER (WHERE r <= 10), '|') AS examples FROM ranked GROUP BY type, key""",

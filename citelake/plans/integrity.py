@@ -68,9 +68,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 PATTERNS = {"doi": r"^10\.[0-9]{4,9}/[^ \t\r\n]+\z", "created": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z\z", "type": r"^[a-z]+(-[a-z]+)*\z"}
 
 
+#: Every column of the summaries but the load itself.
+NUMBERS = [*PROFILED, "row_id", "referenced_by_count", "has_references", "num_citations_without_doi", "num_duplicate_citation_dois"]
+TEXTS = ["doi", "title", "created", "type", "publisher", "container_title", "first_subject_area", "subject_areas", "cited_dois", "provenance"]
+
+
 def p6_profile(spark: SparkSession, d: str) -> DataFrame:
-    columns = [*PROFILED, "num_citations_without_doi", "num_duplicate_citation_dois", *PATTERNS, "publisher"]
-    p = quality.profile_loads(table(spark, d, "crossref_works_summaries"), load="load_no", columns=columns, patterns=PATTERNS)
+    p = quality.profile_loads(table(spark, d, "crossref_works_summaries"), load="load_no", columns=[*NUMBERS, *TEXTS, "received_at"], patterns=PATTERNS)
     whole = [F.col(c).cast("bigint").alias(c) for c in ("n_rows", "n_null", "n_distinct", "n_outside", "n_broken", "n_valid", "lowest", "highest", "s1", "s2")]
     return p.select(F.col("load").alias("load_no"), "column_name", "overall", *whole)
 
@@ -171,11 +175,11 @@ cols AS (
 
 
 def _profile_sql() -> str:
-    numbers = [*PROFILED, "num_citations_without_doi", "num_duplicate_citation_dois"]
-    cells = [f"SELECT load_no, '{c}' AS column_name, {c}::VARCHAR AS v, {c}::BIGINT AS x, true AS ok FROM crossref_works_summaries" for c in numbers]
-    for c in (*PATTERNS, "publisher"):
+    cells = [f"SELECT load_no, '{c}' AS column_name, {c}::VARCHAR AS v, {c}::BIGINT AS x, true AS ok FROM crossref_works_summaries" for c in NUMBERS]
+    for c in (*TEXTS, "received_at"):
         ok = f"regexp_matches({c}, '{PATTERNS[c]}')" if c in PATTERNS else "true"
-        cells.append(f"SELECT load_no, '{c}', {c}, TRY_CAST({c} AS BIGINT), {ok} FROM crossref_works_summaries")
+        number = "NULL" if c == "received_at" else f"CASE WHEN regexp_full_match({c}, '[+-]?[0-9]{{1,37}}([.]0*)?') THEN TRY_CAST({c} AS BIGINT) END"
+        cells.append(f"SELECT load_no, '{c}', {c}::VARCHAR, {number}, {ok} FROM crossref_works_summaries")
     stats = """count(*) AS n_rows, count(*) - count(v) AS n_null, count(DISTINCT v) AS n_distinct,
       count(*) FILTER (WHERE x < 0 OR x > 10000) AS n_outside, count(*) FILTER (WHERE v IS NOT NULL AND NOT ok) AS n_broken,
       count(*) FILTER (WHERE x BETWEEN 0 AND 10000) AS n_valid, min(x) FILTER (WHERE x BETWEEN 0 AND 10000) AS lowest,

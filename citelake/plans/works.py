@@ -48,14 +48,16 @@ def broken_pages(pages: DataFrame) -> DataFrame:
 
 def orders_as_works(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
     """An order as a work, its line items as references: a DOI per part, none for returned ones. DOIs are written dirtily, to be cleaned."""
-    returned = F.col("l_returnflag") == "R"
-    doi = F.concat(F.lit(' "10.5555/p'), F.col("l_partkey").cast("string"), F.lit('"\n'))
-    reference = F.map_from_arrays(
-        F.array(F.lit("key"), F.lit("DOI"), F.lit("year"), F.lit("unstructured")),
-        F.array(F.concat(F.lit("ref"), F.col("l_linenumber").cast("string")), F.when(~returned, doi), F.year("l_shipdate").cast("string"), F.when(F.col("l_linestatus") == "F", "text").otherwise("")),
-    )
-    refs = lineitem.select("l_orderkey", "l_linenumber", reference.alias("r"))
-    refs = refs.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", F.map_entries("r").alias("e")))), lambda x: F.map_from_entries(x["e"])).alias("references"))
+    # Only what the references are made of is shuffled; the maps are made after.
+    narrow = F.struct("l_linenumber", F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("part"), F.year("l_shipdate").alias("year"), (F.col("l_linestatus") == "F").alias("f"))
+    refs = lineitem.select("l_orderkey", narrow.alias("r")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("r")).alias("lines"))
+
+    def reference(x):
+        doi = F.concat(F.lit(' "10.5555/p'), x["part"].cast("string"), F.lit('"\n'))
+        values = F.array(F.concat(F.lit("ref"), x["l_linenumber"].cast("string")), doi, x["year"].cast("string"), F.when(x["f"], "text").otherwise(""))
+        return F.map_from_arrays(F.array(F.lit("key"), F.lit("DOI"), F.lit("year"), F.lit("unstructured")), values)
+
+    refs = refs.select("l_orderkey", F.transform("lines", reference).alias("references"))
     segment = customer.select("c_custkey", "c_mktsegment")
     o = orders.join(refs, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(segment, F.col("o_custkey") == F.col("c_custkey"), "left")
     return o.select(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,7 @@ DEFAULTS = {
 
 #: Local folders made for single-JVM sessions, by application.
 _OWN: dict[str, str] = {}
+_SCRATCH: set[str] = set()
 
 
 def build_session(app: str = "citelake", **conf: str) -> SparkSession:
@@ -40,14 +44,26 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = _OWN.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="citelake-")
-    _OWN[spark.sparkContext.applicationId] = own
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _OWN:
+        _OWN[application] = tempfile.mkdtemp(prefix="citelake-")
+        atexit.register(shutil.rmtree, _OWN[application], ignore_errors=True)
+    return _OWN[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/citelake/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in the application's own part of it, which is deleted when the driver ends."""
+    base = f"{shared_dir(spark).rstrip('/')}/citelake/{spark.sparkContext.applicationId}"
+    if base not in _SCRATCH:
+        _SCRATCH.add(base)
+        fs, path = hadoop_path(spark, base)
+        atexit.register(_delete, fs, path)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(fs, path) -> None:
+    with suppress(Exception):  # the JVM may be gone already
+        fs.delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
