@@ -407,12 +407,18 @@ def find_leaks(
     if size <= item_chars:
         return docs.mapInArrow(_search(context.broadcast(block(pairs)), words, edits, q), FOUND)
     blocks = -(-size // item_chars)
-    number = F.pmod(F.xxhash64("i", "t"), F.lit(blocks))
-    stored = materialise(pairs.withColumn("b", number), "items")
+    spark = documents.sparkSession
+    stored = scratch_path(spark, "items")
+    pairs.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks))).hint("rebalance", "b").write.partitionBy("b").parquet(stored)
+    filled = sorted(r["b"] for r in spark.read.parquet(stored).select("b").distinct().collect())  # one number a block
+
+    def items_of(b: int) -> tuple[list[int], list[str]]:
+        return block(spark.read.schema("i bigint, t string").parquet(f"{stored}/b={b}"))
+
     levels: dict[int, list] = {}
     longest = gap = 0
-    for b in range(blocks):
-        part = Items(*block(stored.where(F.col("b") == b).select("i", "t")), words, edits, q, bits=26)
+    for b in filled:
+        part = Items(*items_of(b), words, edits, q, bits=26)
         longest, gap = max(longest, part.longest), max(gap, part.gap)
         for level in part.levels:
             known = levels.get(level.q)
@@ -423,9 +429,9 @@ def find_leaks(
                 known[4] |= level.maybe
     packed = context.broadcast(([(q_, span, least, shift, np.packbits(m)) for q_, span, least, shift, m in levels.values()], longest, edits, gap))
     narrowed = materialise(docs.mapInArrow(_narrow(packed), "doc_id bigint, text string"), "narrowed")
-    place = scratch_path(documents.sparkSession, "leaks")
-    for b in range(blocks):
-        held = context.broadcast(block(stored.where(F.col("b") == b).select("i", "t")))
+    place = scratch_path(spark, "leaks")
+    for b in filled:
+        held = context.broadcast(items_of(b))
         narrowed.mapInArrow(_search_narrowed(held, words, edits, q), FOUND).write.mode("append").parquet(place)
         held.destroy()
-    return documents.sparkSession.read.schema(FOUND).parquet(place)
+    return spark.read.schema(FOUND).parquet(place)
