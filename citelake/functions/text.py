@@ -123,7 +123,7 @@ def format_percent(c: Column) -> Column:
 
 def populated_keys(ref: Column) -> Column:
     """The sorted keys of a map whose values are neither NULL nor empty, joined by `|`."""
-    return F.array_join(F.array_sort(F.map_keys(F.map_filter(ref, lambda _, v: v.isNotNull() & (v != "")))), "|")
+    return F.array_join(F.sort_array(F.map_keys(F.map_filter(ref, lambda _, v: v.isNotNull() & (v != "")))), "|")
 
 
 def with_parameters(base_url: str, parameters: Mapping | list | None) -> str:

@@ -21,7 +21,7 @@ def reference_stats(references: Column, clean: bool = True) -> Column:
     dois = F.filter(F.transform(references, lambda r: F.coalesce(_doi(r, clean), F.lit(""))), lambda d: d != "")
 
     def stats(d: Column) -> Column:
-        distinct = F.array_sort(F.array_distinct(d))
+        distinct = F.sort_array(F.array_distinct(d))
         return F.struct(
             F.when(references.isNotNull(), 1).otherwise(0).alias("has_references"),
             F.coalesce(F.size(references), F.lit(0)).alias("num_references"),

@@ -48,7 +48,7 @@ def typed_counts(keyed: DataFrame, limit: int = 10) -> DataFrame:
     """
     counts = key_counts(keyed)
     ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("type", "key").orderBy("example"))).where(F.col("_rank") <= limit)
-    examples = ranked.groupBy("type", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "example"))), lambda x: x["example"]).alias("examples"))
+    examples = ranked.groupBy("type", "key").agg(F.transform(F.sort_array(F.collect_list(F.struct("_rank", "example"))), lambda x: x["example"]).alias("examples"))
     match = (F.col("c.type") == F.col("e.type")) & F.col("c.key").eqNullSafe(F.col("e.key"))
     return counts.alias("c").join(examples.alias("e"), match).select("c.type", "c.key", "c.count", "e.examples")
 

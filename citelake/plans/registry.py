@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from citelake.plans import coverage, integrity
+from citelake.plans import coverage, files, integrity
 
-MODULES = [integrity, coverage]
+MODULES = [integrity, coverage, files]
 
 
 def queries() -> dict[str, Callable]:

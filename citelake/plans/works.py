@@ -50,7 +50,7 @@ def orders_as_works(orders: DataFrame, lineitem: DataFrame, customer: DataFrame)
     """An order as a work, its line items as references: a DOI per part, none for returned ones. DOIs are written dirtily, to be cleaned."""
     # Only what the references are made of is shuffled; the maps are made after.
     narrow = F.struct("l_linenumber", F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("part"), F.year("l_shipdate").alias("year"), (F.col("l_linestatus") == "F").alias("f"))
-    refs = lineitem.select("l_orderkey", narrow.alias("r")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("r")).alias("lines"))
+    refs = lineitem.select("l_orderkey", narrow.alias("r")).groupBy("l_orderkey").agg(F.sort_array(F.collect_list("r")).alias("lines"))
 
     def reference(x):
         doi = F.concat(F.lit(' "10.5555/p'), x["part"].cast("string"), F.lit('"\n'))

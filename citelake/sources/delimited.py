@@ -23,7 +23,9 @@ def read_delimited(
     spark: SparkSession, path: str, *, header: bool = True, sep: str | None = None, types: dict[str, str] | None = None, columns: list[str] | None = None,
     partitions: int | None = None, multi_line: bool = False,
 ) -> DataFrame:
-    """A delimited file (also gzip) or a folder of them, all columns text but those in `types`; lines may end in CRLF.
+    """A delimited file (also gzip) or a folder of them, all columns text but those in `types`; an empty field is NULL.
+
+    Lines may end in CRLF; a CRLF inside quotes is then read as a line feed.
 
     Without a header, columns are named `0`, `1`, ... unless `columns` names them. Large files are read in splits; with
     `multi_line`, for line feeds inside quotes, a file is one split. So is a gzip file: `partitions` spreads its rows.
