@@ -18,7 +18,7 @@ TEXTS = [
     "Reviewer 2 ({name:N. Price}) asked for the raw counts; the price of the probe was not given.",
     "{name:Mary-Ann O'Leary} and {name:Kenji Moriyama} shared the first authorship.",
     "The social security number {id_number:219-09-9999} must not appear in the log.",
-    "Contact: {name:Rosa Field}, field office, {phone:555-867-5309}.".replace("555-867-5309", "415-867-5309"),
+    "Contact: {name:Rosa Field}, field office, {phone:415-867-5309}.",
     "We counted 4512 seeds on pages 100-120 and 87 in vol. 12, no. 3.",
     "The ISBN 978-3-16-148410-0 and doi:10.1000/182 identify the same book.",
     "{name:Pieter van der Meulen} wrote to {email:office (at) archive (dot) example} twice.",
@@ -27,12 +27,12 @@ TEXTS = [
     "National insurance: {id_number:AB 12 34 56 C}; the form went to {name:Okafor, Desmond}.",
     "His tax number is {id_number:12-3456789}, as the form shows.",
     "Temperatures of 20.5 and 21.7 were logged at 10:30 and 11:45 on 2019-03-04.",
-    "Reach the desk at {phone:1-800-555-0199} or {email:help@desk.example}.".replace("1-800-555-0199", "+1 800 555 0199"),
-    "The consent form of {name:Ms. Raghunathan} lists {address:Flat 3, 8 Orchard Terrace, Whitby}.".replace("{name:Ms. Raghunathan}", "Ms. {name:Raghunathan}"),
+    "Reach the desk at {phone:+1 800 555 0199} or {email:help@desk.example}.",
+    "The consent form of Ms. {name:Raghunathan} lists {address:Flat 3, 8 Orchard Terrace, Whitby}.",
     "Version 3.11.2 was tagged; build 20231105123456 failed.",
     "le numéro de sécurité sociale {id_number:2 55 08 14 168 025 38} figure au dossier.",
     "Thank you, {name:Ingrid}, for the photographs.",
-    "Dear {name:Mr. Wieczorek}, your abstract was accepted.".replace("{name:Mr. Wieczorek}", "Mr. {name:Wieczorek}"),
+    "Dear Mr. {name:Wieczorek}, your abstract was accepted.",
     "Signed: {name:CHARPENTIER Étienne}",
     "Grant 7654321 and accession AB123456 are cited in the notes.",
     "Domicilio: {address:Calle Alcalá 45, 28014 Madrid}.",
